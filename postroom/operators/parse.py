@@ -19,7 +19,7 @@ from ..functions.headers import (
     split_message,
 )
 from ..functions.patches import extract_patches
-from ..functions.text import decode_utf8, drop_final_newline, unify_line_ends
+from ..functions.text import decode_utf8, drop_final_newline, let, unify_line_ends
 from ..functions.trailers import extract_trailers
 from ..schema import STORED_MAIL_SCHEMA
 
@@ -37,19 +37,18 @@ def split_raw(raw: DataFrame) -> DataFrame:
 
     ``raw`` needs a binary ``content`` column; its other columns stay.
     """
-    return (
-        raw.withColumn("text", unify_line_ends(decode_utf8(F.col("content"))))
-        .withColumn("parts", split_message(F.col("text")))
-        .withColumn("head", F.get("parts", 0))
-        .withColumn("body", drop_final_newline(F.coalesce(F.get("parts", 1), F.lit(""))))
-        .withColumn(
-            "error",
-            F.when(F.col("text").isNull(), F.lit(NOT_UTF8)).when(
-                header_is_malformed(F.col("head")), F.lit(NO_FIELD)
-            ),
+    def message(parts: Column) -> Column:
+        head = F.get(parts, 0)
+        body = drop_final_newline(F.coalesce(F.get(parts, 1), F.lit("")))
+        error = F.when(head.isNull(), F.lit(NOT_UTF8)).when(
+            header_is_malformed(head), F.lit(NO_FIELD)
         )
-        .drop("text", "parts")
-    )
+        return F.struct(head.alias("head"), body.alias("body"), error.alias("error"))
+
+    parts = split_message(unify_line_ends(decode_utf8(F.col("content"))))
+    # A generator, although it gives one row each: a later filter on "error"
+    # would be pushed below a projection, and decode every mail a second time.
+    return raw.select("*", F.inline(F.array(let(parts, message))))
 
 
 def parse_mail(raw: DataFrame, date=parse_date) -> DataFrame:
