@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import let, strip
+from .text import let_sql, pattern, strip_sql, with_sql
 
 _MICROS_PER_DAY = 86_400_000_000
 
@@ -82,60 +82,57 @@ _SHAPES = (
 
 def clean_date(value: Column) -> Column:
     """Strip, drop a comment from its ``(`` on; null when too short to be a date."""
-    bare = strip(F.substring_index(value, "(", 1))
-    return F.when(F.length(bare) >= _SHORTEST, bare)
+    return with_sql(value, "x", _clean("x"))
 
 
 def parse_date(value: Column) -> Column:
     """A ``Date`` header to ``timestamp_ntz``; null when no attempt parses."""
+    cuts = [strip_sql(f"left(d, {n})") for n in DATE_CUTS]
+    tries = ", ".join(["d", "replace(d, '.', ':')", *cuts])
+    # The first that parses; once there is one, the rest are not looked at.
+    first = (
+        f"aggregate(array({tries}), cast(NULL AS timestamp_ntz),"
+        f" (found, s) -> coalesce(found, {_timestamp('s')}))"
+    )
+    return with_sql(value, "x", let_sql(_clean("x"), "d", first))
 
-    def attempts(text: Column) -> Column:
-        tries = [text, F.replace(text, F.lit("."), F.lit(":"))]
-        tries += [strip(F.substring(text, 1, n)) for n in DATE_CUTS]
-        return F.coalesce(*[_timestamp(t) for t in tries])
 
-    return let(clean_date(value), attempts)
+def _clean(value: str) -> str:
+    bare = strip_sql(f"substring_index({value}, '(', 1)")
+    return let_sql(bare, "b", f"if(length(b) >= {_SHORTEST}, b, NULL)")
 
 
-def _timestamp(text: Column) -> Column:
-    rewritten = F.when(~F.contains(text, F.lit("|")), text)
-    for pattern, rewrite in _SHAPES:
-        rewritten = F.regexp_replace(rewritten, pattern, rewrite)
-    fields = F.when(F.contains(rewritten, F.lit("|")), F.split(rewritten, r"\|"))
-    return let(fields, _assemble)
+def _timestamp(text: str) -> str:
+    rewritten = f"if(contains({text}, '|'), NULL, {text})"
+    for shape, rewrite in _SHAPES:
+        rewritten = f"regexp_replace({rewritten}, {pattern(shape)}, {pattern(rewrite)})"
+    fields = let_sql(rewritten, "r", "if(contains(r, '|'), split(r, '[|]'), NULL)")
+    return let_sql(fields, "f", _assemble("f"))
 
 
-def _assemble(f: Column) -> Column:
-    year = _int(f[0])
-    full_year = (
-        F.when(year >= 100, year).when(year >= _PIVOT_YEAR, year + 1900).otherwise(year + 2000)
+def _assemble(f: str) -> str:
+    """The timestamp of the eight fields; null when one is out of range."""
+    numbers = ", ".join(f"try_cast(ltrim('?', {f}[{i}]) AS int) AS n{i}" for i in (0, 1, 2, 3, 4))
+    year = (
+        f"CASE WHEN n.n0 >= 100 THEN n.n0 WHEN n.n0 >= {_PIVOT_YEAR} THEN n.n0 + 1900"
+        " ELSE n.n0 + 2000 END"
     )
-    name = F.lower(F.substring(f[1], 1, 3))
-    first, second = _int(F.ltrim(f[1], F.lit("?"))), _int(f[2])
-    swapped = F.startswith(f[1], F.lit("?")) & (first > 12)
-    named = F.when(name.rlike("^[a-z]"), ((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("int"))
-    month = F.coalesce(named, F.when(swapped, second).otherwise(first))
-    day = F.when(swapped, first).otherwise(second)
-
-    hour, half = F.coalesce(_int(f[3]), F.lit(0)), F.lower(f[7])
-    clock = (
-        F.when(half == "", hour)
-        .when(hour > 12, None)
-        .when(half == "am", hour % 12)
-        .otherwise(hour % 12 + 12)
+    name = f"lower(left({f}[1], 3))"
+    swapped = f"(startswith({f}[1], '?') AND n.n1 > 12)"
+    named = f"cast((instr('{_MONTHS}', {name}) + 2) / 3 AS int)"
+    month = f"CASE WHEN {swapped} THEN n.n2 WHEN n.n1 IS NULL THEN {named} ELSE n.n1 END"
+    day = f"if({swapped}, n.n1, n.n2)"
+    hour = (
+        f"CASE WHEN {f}[7] = '' THEN coalesce(n.n3, 0) WHEN n.n3 > 12 THEN NULL"
+        f" WHEN lower({f}[7]) = 'am' THEN n.n3 % 12 ELSE n.n3 % 12 + 12 END"
     )
-    minute = F.coalesce(_int(f[4]), F.lit(0))
-    second_text = F.when(f[5] == "", F.lit("0")).otherwise(f[5])
-    seconds = F.concat(second_text, F.lit("."), f[6], F.lit("0")).cast("decimal(8,6)")
-    return F.when(
-        seconds < 60, F.try_make_timestamp_ntz(full_year, month, day, clock, minute, seconds)
+    seconds = f"cast(concat(if({f}[5] = '', '0', {f}[5]), '.', {f}[6], '0') AS decimal(8, 6))"
+    made = f"try_make_timestamp_ntz({year}, {month}, {day}, {hour}, coalesce(n.n4, 0), s)"
+    return let_sql(
+        f"struct({numbers})", "n", let_sql(seconds, "s", f"if(s < 60, {made}, NULL)")
     )
 
 
-def _int(text: Column) -> Column:
-    return text.try_cast("int")
-
-
 def to_micros(date: Column) -> Column:
     """Microseconds since 1970 of a naive timestamp, whatever the session zone."""
     day = F.unix_date(date.cast("date")).cast("long") * _MICROS_PER_DAY

@@ -10,9 +10,8 @@ a match cannot reach past that mark.
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from .text import LINE_START, LINE_STOP, SPACE_CLASS, let, strip
+from .text import LINE_START, LINE_STOP, SPACE_CLASS, let_sql, pattern, strip_sql, with_sql
 
 # What starts and what ends a patch.
 _RULE = rf"{LINE_START}---{LINE_STOP}"
@@ -22,38 +21,29 @@ _QUOTED_SIGNATURE = rf"{LINE_START}--[{SPACE_CLASS}=]*\n[^\n]*"
 _LAST_RESORT = rf"{LINE_START}-(?s:.*)\n[^\n]*"
 
 
-def _up_to_last(body: Column, mark: str) -> Column:
+def _up_to_last(body: str, mark: str) -> str:
     """The body through its last ``mark``; ``""`` when there is none."""
-    return F.regexp_extract(body, rf"\A(?s:.*){mark}", 0)
+    return f"regexp_extract({body}, {pattern(rf'\A(?s:.*){mark}')}, 0)"
 
 
-def _all(body: Column, start: str, end: str) -> Column:
+def _all(body: str, start: str, end: str) -> str:
     """All matches from ``start`` to the nearest ``end``; null when none."""
-    found = F.regexp_extract_all(body, F.lit(rf"{start}(?s:.*?){end}"), F.lit(0))
-    return let(found, lambda m: F.when(F.size(m) > 0, m))
+    found = f"regexp_extract_all({body}, {pattern(rf'{start}(?s:.*?){end}')}, 0)"
+    return let_sql(found, "m", "if(size(m) > 0, m, NULL)")
 
 
 def extract_patches(body: Column) -> Column:
     """``array<string>`` of patches, each stripped; ``[]`` when there is none."""
-    signed = let(
-        _up_to_last(body, _SIGNATURE),
-        lambda part: F.struct(
-            _all(part, _RULE, _SIGNATURE).alias("ruled"),
-            part.alias("part"),
-        ),
+    none = "cast(array() AS array<string>)"
+    quoted_part = let_sql(
+        _up_to_last("x", _QUOTED_SIGNATURE), "q", _all("q", _RULE, _QUOTED_SIGNATURE)
     )
-    quoted = _all(_up_to_last(body, _QUOTED_SIGNATURE), _RULE, _QUOTED_SIGNATURE)
-    found = let(
-        signed,
-        lambda s: F.coalesce(
-            s["ruled"],
-            quoted,
-            _all(s["part"], _DIFF, _SIGNATURE),
-            _all(body, _RULE, _LAST_RESORT),
-            F.array().cast("array<string>"),
-        ),
+    found = let_sql(
+        _up_to_last("x", _SIGNATURE),
+        "part",
+        f"coalesce({_all('part', _RULE, _SIGNATURE)}, {quoted_part},"
+        f" {_all('part', _DIFF, _SIGNATURE)}, {_all('x', _RULE, _LAST_RESORT)}, {none})",
     )
     # Most mails hold no "--" at all; a byte search settles those.
-    return F.when(
-        F.contains(body, F.lit("--")), F.transform(found, strip)
-    ).otherwise(F.array().cast("array<string>"))
+    stripped = f"transform({found}, p -> {strip_sql('p')})"
+    return with_sql(body, "x", f"if(contains(x, '--'), {stripped}, {none})")

@@ -7,10 +7,6 @@ pattern needs the slow Unicode flag.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,9 +32,55 @@ _RARE_LINE_ENDS = [c for c in LINE_ENDS if c != "\n"]
 _RARE_LINE_END = r"[\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` to a name inside one expression, so it is computed once."""
-    return F.get(F.transform(F.array(value), body), 0)
+# --- SQL text --------------------------------------------------------------
+# Longer expressions are written as SQL text and handed to Spark in one piece:
+# putting the same thing together from hundreds of Column calls takes seconds
+# on the driver before anything runs.
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal with every character escaped that needs it."""
+    plain = set("\\'\"") ^ {chr(c) for c in range(0x20, 0x7F)}
+    return "'" + "".join(c if c in plain else f"\\u{ord(c):04x}" for c in text) + "'"
+
+
+def pattern(regex: str) -> str:
+    """A SQL literal for a regular expression, taken as it stands."""
+    if "'" in regex:
+        raise ValueError("a pattern must not hold a quote")
+    return f"r'{regex}'"
+
+
+def let_sql(value: str, name: str, body: str) -> str:
+    """``body`` with ``value`` bound to ``name``, so it is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def with_sql(value: Column, name: str, body: str) -> Column:
+    """The SQL expression ``body`` in which ``name`` stands for ``value``."""
+    bound = F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}"))
+    return F.get(bound, 0)
+
+
+def strip_sql(value: str) -> str:
+    """See :func:`strip`."""
+    return f"btrim({value}, {quoted(WHITE_SPACE)})"
+
+
+def unify_line_ends_sql(text: str) -> str:
+    """See :func:`unify_line_ends`."""
+    rare = " OR ".join(f"contains(t, {quoted(c)})" for c in _RARE_LINE_ENDS)
+    rest = f"if({rare}, regexp_replace(t, {pattern(_RARE_LINE_END)}, {quoted(chr(10))}), t)"
+    return let_sql(f"replace({text}, {quoted(chr(13) + chr(10))}, {quoted(chr(10))})", "t", rest)
+
+
+def drop_final_newline_sql(text: str) -> str:
+    """See :func:`drop_final_newline`."""
+    body = f"if(endswith(b, {quoted(chr(10))}), substring(b, 1, length(b) - 1), b)"
+    return let_sql(text, "b", body)
+
+
+# --- columns ---------------------------------------------------------------
 
 
 def strip(value: Column) -> Column:
@@ -52,19 +94,12 @@ def unify_line_ends(text: Column) -> Column:
     Past CRLF they are so rare that looking for their bytes first, which needs
     no decoding, is cheaper than running a pattern over every mail.
     """
-
-    def replace_rare(t: Column) -> Column:
-        rare = reduce(or_, [F.contains(t, F.lit(c)) for c in _RARE_LINE_ENDS])
-        return F.when(rare, F.regexp_replace(t, _RARE_LINE_END, "\n")).otherwise(t)
-
-    return let(F.replace(text, F.lit("\r\n"), F.lit("\n")), replace_rare)
+    return with_sql(text, "x", unify_line_ends_sql("x"))
 
 
 def drop_final_newline(text: Column) -> Column:
     """A final line end closes the last line; it does not open an empty one."""
-    return F.when(
-        F.endswith(text, F.lit("\n")), F.substring(text, F.lit(1), F.length(text) - 1)
-    ).otherwise(text)
+    return with_sql(text, "x", drop_final_newline_sql("x"))
 
 
 def decode_utf8(content: Column) -> Column:

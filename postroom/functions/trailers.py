@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import let_sql, pattern, strip_sql, with_sql
 
 # Fixed value: a trailer line. Letters include the four characters that fold
 # to an ASCII letter when case is ignored.
@@ -18,17 +18,18 @@ def extract_trailers(body: Column) -> Column:
     A tag without a name and an address in angle brackets is not a trailer.
     """
 
-    def trailer(line: Column) -> Column:
-        person = F.substring(line, F.instr(line, ":") + 1, F.length(line))
-        name = strip(F.substring_index(person, "<", 1))
-        # The match ends with ">", and the address itself has none.
-        address = strip(F.rtrim(F.substring(person, F.instr(person, "<") + 1, F.length(person)), F.lit(">")))
-        return F.struct(
-            F.substring_index(line, ":", 1).alias("attribution"),
-            F.concat(name, F.lit(" <"), address, F.lit(">")).alias("identification"),
-        )
-
-    return F.transform(F.regexp_extract_all(body, F.lit(_TRAILER), F.lit(0)), trailer)
+    # The match ends with ">", and the address itself has none.
+    name = strip_sql("substring_index(p, '<', 1)")
+    address = strip_sql("trim(TRAILING '>' FROM substring(p, instr(p, '<') + 1))")
+    identification = let_sql(
+        "substring(line, instr(line, ':') + 1)", "p", f"concat({name}, ' <', {address}, '>')"
+    )
+    trailer = (
+        "struct(substring_index(line, ':', 1) AS attribution,"
+        f" {identification} AS identification)"
+    )
+    found = f"regexp_extract_all(x, {pattern(_TRAILER)}, 0)"
+    return with_sql(body, "x", f"transform({found}, line -> {trailer})")
 
 
 def is_reviewed(attribution: Column) -> Column:

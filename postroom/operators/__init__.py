@@ -3,7 +3,7 @@
 from .activity import after, rolling_activity, rolling_sums, trailer_counts
 from .authors import author_list_counts, author_lists, repeat_lists
 from .parse import dead_letter_text, dead_letters, parse_mail, split_raw
-from .profile import date_stats, first_and_last, profile
+from .profiling import date_stats, first_and_last, profile
 from .pseudonyms import hash_columns, identity_map, pseudonymised_datasets
 from .quality import (
     MessageIdConflict,

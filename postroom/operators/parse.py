@@ -14,12 +14,19 @@ from ..functions.dates import parse_date
 from ..functions.headers import (
     first_value,
     header_fields,
-    header_is_malformed,
+    header_is_malformed_sql,
     list_value,
-    split_message,
+    split_message_sql,
 )
 from ..functions.patches import extract_patches
-from ..functions.text import decode_utf8, drop_final_newline, let, unify_line_ends
+from ..functions.text import (
+    decode_utf8,
+    drop_final_newline_sql,
+    let_sql,
+    quoted,
+    unify_line_ends_sql,
+    with_sql,
+)
 from ..functions.trailers import extract_trailers
 from ..schema import STORED_MAIL_SCHEMA
 
@@ -37,18 +44,19 @@ def split_raw(raw: DataFrame) -> DataFrame:
 
     ``raw`` needs a binary ``content`` column; its other columns stay.
     """
-    def message(parts: Column) -> Column:
-        head = F.get(parts, 0)
-        body = drop_final_newline(F.coalesce(F.get(parts, 1), F.lit("")))
-        error = F.when(head.isNull(), F.lit(NOT_UTF8)).when(
-            header_is_malformed(head), F.lit(NO_FIELD)
-        )
-        return F.struct(head.alias("head"), body.alias("body"), error.alias("error"))
-
-    parts = split_message(unify_line_ends(decode_utf8(F.col("content"))))
+    error = (
+        f"CASE WHEN head IS NULL THEN {quoted(NOT_UTF8)}"
+        f" WHEN {header_is_malformed_sql('head')} THEN {quoted(NO_FIELD)} END"
+    )
+    body = drop_final_newline_sql("coalesce(get(parts, 1), '')")
+    message = let_sql(
+        "get(parts, 0)", "head", f"struct(head, {body} AS body, {error} AS error)"
+    )
+    split = let_sql(split_message_sql(unify_line_ends_sql("x")), "parts", message)
+    text = decode_utf8(F.col("content"))
     # A generator, although it gives one row each: a later filter on "error"
     # would be pushed below a projection, and decode every mail a second time.
-    return raw.select("*", F.inline(F.array(let(parts, message))))
+    return raw.select("*", F.inline(F.array(with_sql(text, "x", split))))
 
 
 def parse_mail(raw: DataFrame, date=parse_date) -> DataFrame:

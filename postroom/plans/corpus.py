@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FIRST_DATE = "2019-07-01 00:00:00"
-_DATE_STEP, _DATE_SPAN = 7919, 94_608_000  # seconds
+_DATE_STEP, _DATE_SPAN = 790_001, 94_608_000  # seconds
 
 _DATE_STYLES = (
     "EEE, dd MMM yyyy HH:mm:ss +0200",
@@ -64,111 +64,109 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def mail_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw mails: path, modificationTime, length, content, article_no, list."""
-    text = F.concat(_header(), F.lit("\n\n"), _body())
-    stray = F.when(_one_in(11, 3), F.lit(" stray continuation\n")).otherwise(F.lit(""))
-    line_ends = F.when(_kind() == 1, F.replace(text, F.lit("\n"), F.lit("\r\n"))).otherwise(text)
-    broken = F.when(_one_in(13, 5), F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
-    content = F.concat(F.encode(F.concat(stray, line_ends), "UTF-8"), broken)
-    path = F.concat(F.lit("/archive/"), "list", F.lit("/"), F.col("article_no").cast("string"), F.lit(".eml"))
-    return mail_texts(spark, sf_dir).select(
-        path.alias("path"),
-        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("k")).alias("modificationTime"),
-        content.alias("content"),
+    broken = f"if({_BROKEN}, X'FF', X'')"
+    content = f"concat(encode(concat({_stray()}, {_message()}), 'UTF-8'), {broken})"
+    return mail_texts(spark, sf_dir).selectExpr(
+        "concat('/archive/', list, '/', article_no, '.eml') AS path",
+        "timestamp_seconds(1700000000 + k) AS modificationTime",
+        f"{content} AS content",
         "article_no",
         "list",
-    ).select(
+    ).selectExpr(
         "path",
         "modificationTime",
-        F.octet_length("content").cast("long").alias("length"),
+        "cast(octet_length(content) AS bigint) AS length",
         "content",
         "article_no",
         "list",
     )
 
 
-def _k() -> Column:
-    return F.col("k")
+# The texts are SQL expressions of k, src and text; one parse each is much
+# quicker to plan than the same thing put together from hundreds of columns.
 
+_BROKEN = "k % 13 = 5"
+_STRAY = "k % 11 = 3"
+_KIND = "k % 8"
 
-def _kind() -> Column:
-    return _k() % 8
 
+def _stray() -> str:
+    return f"if({_STRAY}, ' stray continuation\\n', '')"
 
-def _one_in(n: int, rest: int) -> Column:
-    return _k() % n == rest
 
+def _message() -> str:
+    text = f"concat({_header()}, '\\n\\n', {_body()})"
+    return f"if({_KIND} = 1, replace({text}, '\\n', '\\r\\n'), {text})"
 
-def _fill(template: str) -> Column:
+
+def _fill(template: str) -> str:
     """A text with ``{k}``, ``{k%n}`` and ``{src}`` filled in."""
     parts = []
     for piece in re.split(r"(\{[^}]+\})", template):
-        if piece == "{src}":
-            parts.append(F.col("src"))
-        elif piece.startswith("{"):
-            parts.append(F.expr(piece[1:-1]).cast("string"))
+        if piece.startswith("{"):
+            parts.append(piece[1:-1])
         elif piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts) if parts else F.lit("")
+            escaped = piece.replace("\\", "\\\\").replace("'", "\\'")
+            parts.append("'" + escaped.replace("\n", "\\n").replace("\t", "\\t") + "'")
+    return f"concat({', '.join(parts)})" if parts else "''"
 
 
-def _pick(index: Column, templates: dict[int, str], default: str | None) -> Column:
+def _pick(index: str, templates: dict[int, str], default: str | None) -> str:
     """The template for ``index``, filled in; null (no line) when there is none."""
-    chosen = F.when(F.lit(False), F.lit(""))
-    for value, template in templates.items():
-        chosen = chosen.when(index == value, _fill(template))
-    return chosen if default is None else chosen.otherwise(_fill(default))
+    cases = " ".join(f"WHEN {v} THEN {_fill(t)}" for v, t in templates.items())
+    rest = "NULL" if default is None else _fill(default)
+    return f"CASE {index} {cases} ELSE {rest} END"
 
 
-def _header() -> Column:
-    kind = _kind()
-    mail_id = F.when(_one_in(19, 7) & (_k() >= 40), _fill("Message-ID: <{k-40}.{src}@mail.example>"))
+def _header() -> str:
+    known = f"{_KIND} <> 5"
+    receivers = _pick(
+        _KIND,
+        {3: "To: x{k}@one.example\nTo: y{k}@two.example, z@two.example"},
+        "To: p{k%7}@one.example, q{k%5}@two.example",
+    )
+    mail_id = (
+        f"if(k % 19 = 7 AND k >= 40, {_fill('Message-ID: <{k-40}.{src}@mail.example>')},"
+        f" {_fill('Message-ID: <{k}.{src}@mail.example>')})"
+    )
+    thread = (
+        f"CASE WHEN {_KIND} = 2 THEN {_fill('References: <r1.{k}@x.example>' + chr(10) + ' <r2.{k}@x.example>')}"
+        f" WHEN k % 3 = 1 THEN {_fill('References: <a.{k}@x.example>  <b.{k}@x.example>')} END"
+    )
     lines = [
         _fill("From: Author {k%97} <a{k%97}@mail.example>"),
-        F.when(
-            kind != 5,
-            _pick(
-                kind,
-                {3: "To: x{k}@one.example\nTo: y{k}@two.example, z@two.example"},
-                "To: p{k%7}@one.example, q{k%5}@two.example",
-            ),
-        ),
-        _pick(kind, {6: "Cc: c1@x.example,c2@x.example,  c3@x.example"}, None),
+        f"if({known}, {receivers}, NULL)",
+        _pick(_KIND, {6: "Cc: c1@x.example,c2@x.example,  c3@x.example"}, None),
         _pick(
-            kind,
+            _KIND,
             {2: "Subject: part {k}\n\tcontinued  \n  end", 4: "SUBJECT : Topic {k} "},
             "Subject: Re: topic: {k}",
         ),
-        F.concat(F.lit("Date: "), _date()),
-        _pick(kind, {3: "Date: Mon, 01 Jan 1990 00:00:00 +0000"}, None),
-        F.when(kind != 5, F.coalesce(mail_id, _fill("Message-ID: <{k}.{src}@mail.example>"))),
-        F.when((kind != 5) & _one_in(3, 1), _fill("In-Reply-To: <{k-1}.{src}@mail.example>")),
-        F.when(
-            kind != 5,
-            F.when(kind == 2, _fill("References: <r1.{k}@x.example>\n <r2.{k}@x.example>")).when(
-                _one_in(3, 1), _fill("References: <a.{k}@x.example>  <b.{k}@x.example>")
-            ),
-        ),
-        _pick(kind, {7: "X-Mailing-List: box{k%5}@lists.example"}, None),
+        f"concat('Date: ', {_date()})",
+        _pick(_KIND, {3: "Date: Mon, 01 Jan 1990 00:00:00 +0000"}, None),
+        f"if({known}, {mail_id}, NULL)",
+        f"if({known} AND k % 3 = 1, {_fill('In-Reply-To: <{k-1}.{src}@mail.example>')}, NULL)",
+        f"if({known}, {thread}, NULL)",
+        _pick(_KIND, {7: "X-Mailing-List: box{k%5}@lists.example"}, None),
     ]
-    return F.concat_ws("\n", *lines)
-
-
-def _date() -> Column:
-    start = F.lit(_FIRST_DATE).cast("timestamp_ntz")
-    sent = start + F.make_dt_interval(secs=(_k() * _DATE_STEP) % _DATE_SPAN)
-    styled = F.date_format(sent, _DATE_STYLES[0])
-    for i, style in enumerate(_DATE_STYLES[1:], start=1):
-        styled = F.when(_k() % 6 == i, F.date_format(sent, style)).otherwise(styled)
-    return (
-        F.when(_one_in(17, 4), F.lit("n/a"))
-        .when(_one_in(17, 9), F.lit("yesterday at noon"))
-        .otherwise(styled)
+    return f"concat_ws('\\n', {', '.join(lines)})"
+
+
+def _date() -> str:
+    sent = (
+        f"(timestamp_ntz'{_FIRST_DATE}' +"
+        f" make_dt_interval(0, 0, 0, (k * {_DATE_STEP}) % {_DATE_SPAN}))"
+    )
+    styles = " ".join(
+        f"WHEN {i} THEN date_format({sent}, '{style}')"
+        for i, style in enumerate(s.replace("'", "\\'") for s in _DATE_STYLES)
     )
+    return f"CASE k % 17 WHEN 4 THEN 'n/a' WHEN 9 THEN 'yesterday at noon' ELSE CASE k % 6 {styles} END END"
 
 
-def _body() -> Column:
+def _body() -> str:
     trailers = _pick(
-        _k() % 5,
+        "k % 5",
         {
             1: "\n\nReviewed-by: Rev {k%50} <rev{k%50}@lab.example>",
             2: "\n\nreviewed-by:   Rev B <revb@lab.example>  # ok\nTested-by: T {k%3} <t@lab.example>",
@@ -179,7 +177,7 @@ def _body() -> Column:
         "",
     )
     patch = _pick(
-        _k() % 6,
+        "k % 6",
         {
             1: "\n---\n f{k}.c | 2 +-\n\ndiff --git a/f{k}.c b/f{k}.c\n+x\n--\n2.40.1",
             2: "\nprose\ndiff --git a/g{k} b/g{k}\n-y\n-- \n2.30\n",
@@ -189,4 +187,4 @@ def _body() -> Column:
         },
         "",
     )
-    return F.concat(F.col("text"), trailers, patch)
+    return f"concat(text, {trailers}, {patch})"

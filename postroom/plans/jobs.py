@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.activity import rolling_activity
 from ..operators.authors import author_lists
 from ..operators.parse import dead_letters, parse_mail
-from ..operators.profile import date_stats
+from ..operators.profiling import date_stats
 from ..operators.pseudonyms import pseudonymised_datasets
 from ..operators.quality import reconcile
 from ..operators.sizes import list_sizes, size_report

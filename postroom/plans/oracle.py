@@ -17,7 +17,7 @@ _BROKEN = "k % 13 = 5"
 _STRAY = "k % 11 = 3"
 
 _SENT = """CASE WHEN k % 17 IN (4, 9) THEN NULL
-  ELSE TIMESTAMP '2019-07-01 00:00:00' + to_seconds((k * 7919) % 94608000) END"""
+  ELSE TIMESTAMP '2019-07-01 00:00:00' + to_seconds((k * 790001) % 94608000) END"""
 
 _TRAILERS = """CASE k % 5
   WHEN 1 THEN chr(10) || chr(10) || 'Reviewed-by: Rev ' || (k % 50) || ' <rev' || (k % 50) || '@lab.example>'
@@ -313,7 +313,7 @@ ORACLE: dict[str, str] = {
     ),
     "profile_mail": _alive(
         f""", profiled AS (SELECT sender AS "from", sent AS "date", {_SUBJECT} AS "subject",
-          message_id AS "message-id", [] AS trailers, [] AS code FROM alive) """
+          message_id AS "message-id", [] AS "to", [] AS trailers, [] AS code FROM alive) """
         + " UNION ALL ".join(
             _profile_row("profiled", c, kind)
             for c, kind in (
@@ -321,6 +321,7 @@ ORACLE: dict[str, str] = {
                 ("date", "time"),
                 ("subject", "text"),
                 ("message-id", "text"),
+                ("to", "list"),
                 ("trailers", "list"),
                 ("code", "list"),
             )

@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import streaming
 from ..functions.text import join_list, split_trimmed
 from ..operators import (
     activity,
     authors,
     parse,
-    profile,
+    profiling,
     pseudonyms,
     quality,
     quantiles,
@@ -27,7 +28,6 @@ from ..sinks.tables import land_raw, write_archive, write_dead_letters, write_ma
 from ..sources import selection
 from ..sources.mail import list_names, read_dead_letters, read_identity_map, read_mail
 from ..sources.raw import read_landed
-from ..streaming import ingest as streaming
 from . import jobs
 from .corpus import mail_archive, mail_texts, table
 
@@ -348,7 +348,9 @@ def pseudonymised_mail(spark, sf):
 def stored_archive(spark, sf):
     """The pseudonymised copy and its identity map, written and read back."""
     root = scratch_dir(spark)
-    write_archive(pseudonyms.pseudonymised_datasets(_mail(spark, sf)), root)
+    # The slowest level is for lists of real size: it sets up large tables for
+    # every column of every file, which here would be all the work.
+    write_archive(pseudonyms.pseudonymised_datasets(_mail(spark, sf)), root, level=3)
     main = read_mail(spark, f"{root}/{pseudonyms.MAIN_DATASET}")
     pairs = read_identity_map(spark, f"{root}/{pseudonyms.MAP_PREFIX}from")
     both = main.select("list", F.lit("main").alias("dataset"), "from").unionByName(
@@ -415,25 +417,25 @@ def date_stats_discrete(spark, sf):
 
 
 def _date_stats(spark, sf, rule):
-    stats = profile.date_stats(table(spark, sf, "events"), column="ts", rule=rule)
+    stats = profiling.date_stats(table(spark, sf, "events"), column="ts", rule=rule)
     return stats.select(_text(F.col("min_date")).alias("min_date"), _text(F.col("quartile_date")).alias("quartile_date"))
 
 
 def first_and_last(spark, sf):
-    ends = profile.first_and_last(_mail(spark, sf))
+    ends = profiling.first_and_last(_mail(spark, sf))
     return ends.select(_text(F.col("first_date")).alias("first_date"), _text(F.col("last_date")).alias("last_date"))
 
 
 def profile_events(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    return _profile(profile.profile(events))
+    return _profile(profiling.profile(events))
 
 
 def profile_mail(spark, sf):
     mail = _mail(spark, sf).select("from", "to", "date", "subject", "message-id", "trailers", "code")
-    # A root reads no column twice: written once, the mails are parsed once.
+    # Several passes follow; stored first, the mails are parsed once.
     stored = materialise(mail, scratch_dir(spark))
-    return _profile(profile.profile(stored))
+    return _profile(profiling.profile(stored))
 
 
 def _profile(stats: DataFrame) -> DataFrame:

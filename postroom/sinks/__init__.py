@@ -2,8 +2,9 @@
 
 from .scratch import materialise, scratch_dir
 from .tables import (
-    ARCHIVE_OPTIONS,
+    ARCHIVE_LEVEL,
     ARCHIVE_ROWS,
+    archive_options,
     drop_partitions,
     land_raw,
     write_archive,
@@ -14,8 +15,9 @@ from .tables import (
 )
 
 __all__ = [
-    "ARCHIVE_OPTIONS",
+    "ARCHIVE_LEVEL",
     "ARCHIVE_ROWS",
+    "archive_options",
     "drop_partitions",
     "land_raw",
     "materialise",

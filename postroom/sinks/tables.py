@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 
 PARTITION = "list"
 
-# How the pseudonymised copy is stored (zstd, small and slow).
-ARCHIVE_OPTIONS = {
-    "compression": "zstd",
-    "parquet.compression.codec.zstd.level": "22",
-    "parquet.page.size": str(4 * 1024 * 1024),
-}
+# How the pseudonymised copy is stored. Level 22 is the smallest
+# and slowest; files and pages are large, so that its set-up cost is spread.
+ARCHIVE_LEVEL = 22
+ARCHIVE_PAGE_BYTES = 4 * 1024 * 1024
 #: Rows per file, so that one file holds about one row group of this size.
 ARCHIVE_ROWS = 1024 * 1024
 
@@ -104,12 +102,24 @@ def drop_partitions(spark: SparkSession, root: str, names: Iterable[str]) -> Non
         files.delete(path, True)
 
 
-def write_archive(datasets: dict[str, DataFrame], root: str, max_rows: int = ARCHIVE_ROWS) -> None:
+def archive_options(level: int = ARCHIVE_LEVEL) -> dict[str, str]:
+    """Parquet options of the pseudonymised copy."""
+    return {
+        "compression": "zstd",
+        "parquet.compression.codec.zstd.level": str(level),
+        "parquet.page.size": str(ARCHIVE_PAGE_BYTES),
+    }
+
+
+def write_archive(
+    datasets: dict[str, DataFrame],
+    root: str,
+    level: int = ARCHIVE_LEVEL,
+    max_rows: int = ARCHIVE_ROWS,
+) -> None:
     """Write the pseudonymised datasets, each under its own name."""
     for name, df in datasets.items():
-        write_partitioned(
-            df, f"{root}/{name}", options=ARCHIVE_OPTIONS, max_rows=max_rows
-        )
+        write_partitioned(df, f"{root}/{name}", options=archive_options(level), max_rows=max_rows)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
