@@ -5,16 +5,19 @@ only the dates that did not parse. It needs ``dateutil`` on the executors.
 """
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dates import DATE_CUTS, clean_date, parse_date
+from .dates import DATE_CUTS, clean_date
 
 
-def parse_date_loose(value: Column) -> Column:
-    """Like ``parse_date``, with ``dateutil`` for what it returns null for."""
-    native = parse_date(value)
-    return F.coalesce(native, _reader()(F.when(native.isNull(), clean_date(value))))
+def fill_unread_dates(df: DataFrame, date: str, text: str) -> DataFrame:
+    """Where ``date`` is null, read it from ``text`` with ``dateutil``."""
+    unread = F.when(F.col(date).isNull(), clean_date(F.col(text)))
+    looked = df.withColumn("__unread", unread).withColumn("__found", _reader()(F.col("__unread")))
+    return looked.withColumn(date, F.coalesce(F.col(date), F.col("__found"))).drop(
+        "__unread", "__found"
+    )
 
 
 def _reader():

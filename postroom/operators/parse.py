@@ -18,6 +18,7 @@ from ..functions.headers import (
     list_value,
     split_message_sql,
 )
+from ..functions.loose_dates import fill_unread_dates
 from ..functions.patches import extract_patches
 from ..functions.text import (
     decode_utf8,
@@ -59,26 +60,30 @@ def split_raw(raw: DataFrame) -> DataFrame:
     return raw.select("*", F.inline(F.array(with_sql(text, "x", split))))
 
 
-def parse_mail(raw: DataFrame, date=parse_date) -> DataFrame:
+def parse_mail(raw: DataFrame, loose_dates: bool = False) -> DataFrame:
     """The mails that parse, in the stored schema.
 
-    ``date`` turns the ``Date`` header into a timestamp; pass
-    ``postroom.functions.loose_dates.parse_date_loose`` to look twice.
+    ``loose_dates`` gives dates that no known shape fits a second look in Python.
     """
     split = split_raw(raw).where(F.col("error").isNull())
     names = (*TEXT_FIELDS, DATE_FIELD, *LIST_FIELDS)
     # One column for all fields: it is used many times, so Spark keeps it as a
     # projection of its own and parses each header once.
     fields = split.withColumn("fields", header_fields(F.col("head"), names))
+    date_text = first_value(F.col("fields"), DATE_FIELD)
     values: dict[str, Column] = {n: first_value(F.col("fields"), n) for n in TEXT_FIELDS}
     values |= {n: list_value(F.col("fields"), n, s) for n, s in LIST_FIELDS.items()}
-    values[DATE_FIELD] = date(first_value(F.col("fields"), DATE_FIELD))
+    values[DATE_FIELD] = parse_date(date_text)
     values["trailers"] = extract_trailers(F.col("body"))
     values["code"] = extract_patches(F.col("body"))
     values["raw_body"] = F.col("body")
     values["article_no"] = F.col("article_no")
     values["list"] = F.col("list")
-    return fields.select(*[values[n].alias(n) for n in STORED_MAIL_SCHEMA.fieldNames()])
+    columns = [values[n].alias(n) for n in STORED_MAIL_SCHEMA.fieldNames()]
+    if not loose_dates:
+        return fields.select(*columns)
+    parsed = fields.select(*columns, date_text.alias("__date_text"))
+    return fill_unread_dates(parsed, DATE_FIELD, "__date_text").drop("__date_text")
 
 
 def dead_letters(raw: DataFrame) -> DataFrame:

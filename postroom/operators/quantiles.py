@@ -62,41 +62,36 @@ def exact_quantiles(
     ]
     keys = df.select(F.inline(F.array(*items))).where(F.col("key").isNotNull())
 
+    inside = Window.partitionBy("column", "above")
     found = None
     for level in range(_LEVELS):
         shift = 64 - _BITS * (level + 1)
-        prefix = F.shiftright("key", shift)
+        counted = [F.count(F.lit(1)).alias("n")]
         if found is None:
-            wanted = keys
-            above = F.lit(None).cast("long")
+            wanted = keys.withColumn("above", F.lit(0).cast("long"))
         else:
-            # Bounded by columns x quantiles, hence safe to broadcast.
-            open_buckets = found.select("column", F.col("prefix").alias("above")).distinct()
+            # One row per open bucket, so at most columns x quantiles of them,
+            # each with the ranks looked for inside: safe to broadcast.
+            buckets = found.groupBy("column", F.col("prefix").alias("above")).agg(
+                F.collect_list(F.struct("prob", "rank")).alias("targets")
+            )
             wanted = keys.withColumn("above", F.shiftright("key", shift + _BITS)).join(
-                F.broadcast(open_buckets), ["column", "above"], "left_semi"
+                F.broadcast(buckets), ["column", "above"]
             )
-            above = F.col("above")
-        counts = wanted.groupBy("column", above.alias("above"), prefix.alias("prefix")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        inside = Window.partitionBy("column", "above")
-        running = counts.withColumn("n_above", F.sum("n").over(inside)).withColumn(
-            "upto", F.sum("n").over(inside.orderBy("prefix"))
-        )
+            counted.append(F.any_value("targets").alias("targets"))
+        counts = wanted.groupBy("column", "above", F.shiftright("key", shift).alias("prefix")).agg(*counted)
+        running = counts.withColumn("upto", F.sum("n").over(inside.orderBy("prefix")))
         if found is None:
-            prob = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-            ranked = running.select("*", prob).withColumn("rank", rank(F.col("prob"), F.col("n_above")).cast("long"))
-        else:
-            ranked = running.join(
-                F.broadcast(found.withColumnRenamed("prefix", "above")), ["column", "above"]
+            total = F.sum("n").over(inside)
+            targets = F.array(
+                *[F.struct(F.lit(float(p)).alias("prob"), rank(F.lit(float(p)), total).cast("long").alias("rank")) for p in probs]
             )
-        found = ranked.where(
-            (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
-        ).select(
-            "column",
-            "prob",
-            "prefix",
-            (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"),
+            running = running.withColumn("targets", targets)
+        below = F.col("upto") - F.col("n")
+        found = (
+            running.select("column", "prefix", "upto", below.alias("below"), F.inline("targets"))
+            .where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("upto")))
+            .select("column", "prob", "prefix", (F.col("rank") - F.col("below")).alias("rank"))
         )
     return found.select("column", "prob", F.col("prefix").alias("key"))
 
