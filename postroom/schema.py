@@ -44,18 +44,22 @@ STORED_MAIL_SCHEMA = T.StructType(
     + [T.StructField("article_no", T.LongType()), MAIL_SCHEMA.fields[-1]]
 )
 
-#: One raw mail, straight from a file or from a landed table.
-RAW_SCHEMA = T.StructType(
+#: What the binary file source gives for each file.
+FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
         T.StructField("modificationTime", T.TimestampType()),
         T.StructField("length", T.LongType()),
         T.StructField("content", T.BinaryType()),
-        T.StructField("article_no", T.LongType()),
-        T.StructField("list", T.StringType()),
     ]
 )
 
+#: One raw mail, straight from a file or from a landed table.
+RAW_SCHEMA = T.StructType(
+    FILE_SCHEMA.fields
+    + [T.StructField("article_no", T.LongType()), T.StructField("list", T.StringType())]
+)
+
 #: One mail that could not be parsed, with its bytes untouched.
 DEAD_SCHEMA = T.StructType(
     [

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schema import MARK_SCHEMA, RAW_SCHEMA
+from ..schema import FILE_SCHEMA, MARK_SCHEMA, RAW_SCHEMA
 from ..sinks.tables import write_partitioned
 from ..sources.raw import MAIL_GLOB, with_origin
 from ..sources.selection import article_range
@@ -29,6 +29,7 @@ def mail_stream(spark: SparkSession, root: str, max_files: int | None = None) ->
     """New ``.eml`` files under ``root`` as they appear."""
     reader = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", MAIL_GLOB)
         .option("recursiveFileLookup", "true")
     )
