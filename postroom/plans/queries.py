@@ -33,8 +33,6 @@ from .corpus import mail_archive, mail_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_ID = F.col("`message-id`")
-
 
 def _text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
