@@ -94,21 +94,27 @@ def rolling_sums(
     """
     values = list(values)
     timed = events.where(F.col(time).isNotNull())
-    # First and last time, read once from two columns of the source.
-    span = timed.agg(
-        F.struct(F.min(time).alias("first"), F.max(time).alias("last")).alias("span")
-    ).scalar()
-
-    start = to_micros(F.col("span.first")) + window_days * _DAY
     step = F.lit(step_days * _DAY)
-    last_sample = _ceil_div(to_micros(F.col("span.last")) - start, step) - 1
-
-    at = to_micros(F.col(time)) - start
+    # First sample and number of the last one, from one column of the source.
+    # Worked out inside the subquery, so that rows only meet finished numbers.
+    span = (
+        timed.agg(F.min(time).alias("first"), F.max(time).alias("last"))
+        .select(
+            (F.col("first") + F.make_dt_interval(days=F.lit(window_days))).alias("first_sample"),
+            (to_micros(F.col("first")) + window_days * _DAY).alias("start"),
+            to_micros(F.col("last")).alias("stop"),
+        )
+        .withColumn("last_sample", _ceil_div(F.col("stop") - F.col("start"), step) - 1)
+        .select(F.struct("first_sample", "start", "last_sample"))
+        .scalar()
+    )
+    at, last_sample = F.col("at"), F.col("span.last_sample")
     lowest = F.greatest(_ceil_div(at - lookahead_days * _DAY, step), F.lit(0).cast("long"))
     highest = F.least(_floor_div(at + window_days * _DAY, step), last_sample)
 
     runs = (
-        timed.select(F.col(group), F.col(time), *values, span.alias("span"))
+        timed.select(group, to_micros(F.col(time)).alias("at"), *values, span.alias("span"))
+        .withColumn("at", F.col("at") - F.col("span.start"))
         .select(group, lowest.alias("lowest"), highest.alias("highest"), *values)
         .groupBy(group, "lowest", "highest")
         .agg(*[F.sum(v).alias(v) for v in values])
@@ -138,11 +144,7 @@ def rolling_sums(
         .groupBy(group, "sample")
         .agg(*[F.sum(v).alias(v) for v in values])
     )
-    sample_ts = (
-        F.col("span.first")
-        + F.make_dt_interval(days=F.lit(window_days))
-        + F.col("sample") * F.make_dt_interval(days=F.lit(step_days))
-    )
+    sample_ts = F.col("span.first_sample") + F.col("sample") * F.make_dt_interval(days=F.lit(step_days))
     return sums.select("*", span.alias("span")).select(
         sample_ts.alias("sample_ts"), group, *values
     )

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import from_micros, to_micros
+from ..functions.text import with_sql
 
 _BITS = 16
 _LEVELS = 4
@@ -118,7 +118,8 @@ def _order_key(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(value).cast("long")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return _float_bits()(value.cast("double"))
+        double = value.cast("double")
+        return F.when(double.isNotNull(), _float_key(double))
     if has_order_key(dtype):
         return value.cast("long")
     raise TypeError(f"no quantiles of type {dtype.simpleString()}")
@@ -133,35 +134,20 @@ def from_order_key(key: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.date_from_unix_date(key.cast("int"))
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return _float_from_bits()(key).cast(dtype)
+        return F.when(key.isNotNull(), _float_of(key)).cast(dtype)
     return key.cast(dtype)
 
 
-# SQL has no access to the bits of a float; these do a whole Arrow batch at
-# once. Flipping the lower bits of negative numbers puts bits in value order.
+# SQL has no access to the bits of a float, but the JVM's own methods can be
+# called. Flipping the lower bits of negative numbers puts bits in value order.
+_LOWER_BITS = 2**63 - 1
 
 
-def _float_bits():
-    @F.pandas_udf("long")
-    def bits(values: pd.Series) -> pd.Series:
-        import numpy as np
+def _float_key(value: Column) -> Column:
+    raw = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return with_sql(raw, "r", f"if(r < 0, r ^ {_LOWER_BITS}, r)")
 
-        known = values.notna()
-        raw = (values.to_numpy(dtype="float64", na_value=0.0) + 0.0).view("int64")
-        ordered = np.where(raw < 0, raw ^ np.int64(2**63 - 1), raw)
-        return pd.Series(ordered, index=values.index).astype("Int64").where(known)
 
-    return bits
-
-
-def _float_from_bits():
-    @F.pandas_udf("double")
-    def values(keys: pd.Series) -> pd.Series:
-        import numpy as np
-
-        known = keys.notna()
-        raw = keys.fillna(0).to_numpy(dtype="int64")
-        bits = np.where(raw < 0, raw ^ np.int64(2**63 - 1), raw)
-        return pd.Series(bits.view("float64"), index=keys.index).where(known)
-
-    return values
+def _float_of(key: Column) -> Column:
+    raw = with_sql(key, "r", f"if(r < 0, r ^ {_LOWER_BITS}, r)")
+    return F.reflect(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), raw).cast("double")
