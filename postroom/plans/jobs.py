@@ -46,25 +46,23 @@ def retry_dead_letters(raw: DataFrame, out: str) -> None:
     are stored already are left out, so running it twice changes nothing.
     """
     spark = raw.sparkSession
-    scratch = scratch_dir(spark)
+    scratch, errors, key = scratch_dir(spark), f"{out}/{ERRORS}", ["list", "article_no"]
     # What is retried is fixed first: the table it comes from is rewritten below.
-    keys = materialise(
-        read_dead_letters(spark, f"{out}/{ERRORS}").select("list", "article_no"), f"{scratch}/keys"
-    )
-    again = raw.join(keys, ["list", "article_no"], "left_semi")
-    stored = read_mail(spark, f"{out}/{PARSED}", with_article=True).select("list", "article_no")
-    stored = stored.join(keys, ["list", "article_no"], "left_semi")
-    parsed = parse_mail(again).join(stored, ["list", "article_no"], "left_anti")
+    keys = materialise(read_dead_letters(spark, errors).select(*key), f"{scratch}/keys")
+    # At most one name per list; with them, other lists are not even opened.
+    names = [r["list"] for r in keys.select("list").distinct().collect()]
+    found = raw.where(F.col("list").isin(*names)).join(keys, key, "left_semi")
+    again = materialise(found, f"{scratch}/again")
+
+    stored = read_mail(spark, f"{out}/{PARSED}", names, with_article=True).select(*key)
+    stored = stored.join(keys, key, "left_semi")
+    parsed = parse_mail(again).join(stored, key, "left_anti")
     write_mail(parsed, f"{out}/{PARSED}", mode="append")
 
     # Dead letters whose raw mail is gone stay too; nothing is lost.
-    still_dead = dead_letters(again).unionByName(
-        read_dead_letters(spark, f"{out}/{ERRORS}").join(
-            raw.select("list", "article_no"), ["list", "article_no"], "left_anti"
-        )
-    )
-    remaining = materialise(still_dead, f"{scratch}/dead")
-    write_dead_letters(remaining, f"{out}/{ERRORS}")
+    gone = read_dead_letters(spark, errors).join(again.select(*key), key, "left_anti")
+    still_dead = dead_letters(again).unionByName(gone)
+    write_dead_letters(materialise(still_dead, f"{scratch}/dead"), errors)
 
 
 def pseudonymise_archive(

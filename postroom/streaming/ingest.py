@@ -86,15 +86,25 @@ def read_ingested(spark: SparkSession, target: str) -> DataFrame:
 
 
 def latest(ingested: DataFrame) -> DataFrame:
-    """One copy per list and article: the newest file, then the newest batch."""
-    others = [c for c in ingested.columns if c not in ("list", "article_no")]
-    order = F.struct("modificationTime", "batch", "path")
-    newest = F.max_by(F.struct(*others), order)
-    return (
-        ingested.groupBy("list", "article_no")
-        .agg(newest.alias("newest"))
-        .select("list", "article_no", *[F.col(f"newest.{c}").alias(c) for c in others])
+    """One copy per list and article: the newest file, then the newest batch.
+
+    Few mails come more than once. They are found by their keys alone, and only
+    their copies are compared; the contents of all others are never shuffled.
+    """
+    # A file whose name is not a number is known by its path.
+    name = F.coalesce(F.col("article_no").cast("string"), F.col("path"))
+    age = F.struct("modificationTime", "batch", "path")
+    keyed = ingested.withColumn("__name", name)
+    newest = (
+        keyed.groupBy("list", "__name")
+        .agg(F.count(F.lit(1)).alias("__copies"), F.max(age).alias("__newest"))
+        .where(F.col("__copies") > 1)
+        .drop("__copies")
     )
+    joined = keyed.join(newest, ["list", "__name"], "left")
+    single = joined.where(F.col("__newest").isNull())
+    chosen = joined.where(age == F.col("__newest")).dropDuplicates(["list", "__name"])
+    return single.unionByName(chosen).drop("__name", "__newest")
 
 
 def read_marks(spark: SparkSession, target: str) -> DataFrame:
@@ -110,11 +120,15 @@ def high_water_marks(marks: DataFrame) -> DataFrame:
 def above_marks(raw: DataFrame, marks: DataFrame) -> DataFrame:
     """Mails at or above the mark of their list, and all mails of new lists.
 
-    The mark itself is fetched again; :func:`latest` keeps one copy of it.
+    The mark itself is fetched again; :func:`latest` keeps one copy of it. So are
+    files whose name is not a number, as no mark can tell whether they are new.
     """
     return (
         raw.join(high_water_marks(marks), "list", "left")
-        .where(F.col("article_no") >= F.coalesce("last_article", F.lit(0)))
+        .where(
+            F.col("article_no").isNull()
+            | (F.col("article_no") >= F.coalesce("last_article", F.lit(0)))
+        )
         .drop("last_article")
     )
 

@@ -161,6 +161,13 @@ def test_ingest_in_two_passes(spark, inbox, tmp_path):
     streaming.store_batch(again, 1, store)
     assert streaming.latest(streaming.read_ingested(spark, store)).count() == 7
 
+    # So does a copy that came twice in one batch, and a name without a number.
+    odd = again.withColumn("article_no", F.lit(None).cast("long")).withColumn("path", F.lit("odd"))
+    streaming.store_batch(again.unionByName(again).unionByName(odd), 2, store)
+    kept = streaming.latest(streaming.read_ingested(spark, store))
+    assert kept.count() == 8 and kept.where("article_no = 5").first()["batch"] == 2
+    streaming.store_batch(again, 2, store)
+
     marks = streaming.read_marks(spark, store)
     top = {r["list"]: r["last_article"] for r in streaming.high_water_marks(marks).collect()}
     assert top == {"list.a": 5, "2024": 3}
