@@ -103,7 +103,7 @@ _COPIES = """CASE WHEN k % 8 = 6 THEN ['c1@x.example', 'c2@x.example', '  c3@x.e
 
 def _unfold(inner: str, columns: str, item: str = "item") -> str:
     """One row per item of ``items``, with its position from 0."""
-    return f"""SELECT {columns}, unnest(range(len(items))) AS pos, unnest(items) AS {item}
+    return f"""SELECT {columns}, CAST(unnest(range(len(items))) AS INTEGER) AS pos, unnest(items) AS {item}
       FROM ({inner})"""
 
 
@@ -164,8 +164,8 @@ _AUTHORS = """SELECT c_name, o_orderpriority AS list, count(*) AS mails
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
 
 ORACLE: dict[str, str] = {
-    "review_counts": _alive("""SELECT list, count(*) AS mails, sum(reviewed) AS reviewed,
-      sum(tested) AS tested, sum(reviewed + tested) AS "any" FROM alive GROUP BY list"""),
+    "review_counts": _alive("""SELECT list, count(*) AS mails, CAST(sum(reviewed) AS BIGINT) AS reviewed,
+      CAST(sum(tested) AS BIGINT) AS tested, CAST(sum(reviewed + tested) AS BIGINT) AS "any" FROM alive GROUP BY list"""),
     "raw_mails": _mails("""SELECT list, count(*) AS mails, min(article_no) AS lowest,
       max(article_no) AS highest FROM mails GROUP BY list"""),
     "split_messages": _alive("""SELECT list, article_no, length(body) AS body_chars,
@@ -208,27 +208,27 @@ ORACLE: dict[str, str] = {
       WHERE {_BROKEN} OR {_STRAY}"""),
     "stored_mail": _alive(f"""SELECT list, article_no, sender, strftime(sent, {_TIME}) AS sent,
       (SELECT count(*) FROM people p WHERE p.list = alive.list AND p.article_no = alive.article_no) AS trailers,
-      CASE k % 6 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS patches FROM alive"""),
+      CAST(CASE k % 6 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS BIGINT) AS patches FROM alive"""),
     "stored_lists": _alive("SELECT DISTINCT list FROM alive"),
     "stored_some_lists": _alive("""SELECT list, count(*) AS mails FROM alive
       WHERE list IN ('list-user', 'src3') GROUP BY list"""),
     "stored_reparse": _alive("SELECT list, count(*) AS mails FROM alive GROUP BY list"),
-    "landed_mails": _mails("""SELECT list, count(*) AS mails, sum(article_no) AS articles
+    "landed_mails": _mails("""SELECT list, count(*) AS mails, CAST(sum(article_no) AS BIGINT) AS articles
       FROM mails GROUP BY list"""),
     "stored_dead_letters": _mails(f"""SELECT list, count(*) AS mails FROM mails
       WHERE ({_BROKEN} OR {_STRAY}) AND list <> 'list-user' GROUP BY list"""),
     "retried_mails": _mails(f"""SELECT list, count(*) AS raw,
-      count(*) FILTER (NOT ({_STRAY})) AS parsed, count(*) FILTER ({_STRAY}) AS dead, 0 AS missing
+      count(*) FILTER (NOT ({_STRAY})) AS parsed, count(*) FILTER ({_STRAY}) AS dead, CAST(0 AS BIGINT) AS missing
       FROM mails GROUP BY list"""),
-    "reconcile": _mails(f"""SELECT list, raw, parsed, 0 AS dead, raw - parsed AS missing,
+    "reconcile": _mails(f"""SELECT list, raw, parsed, CAST(0 AS BIGINT) AS dead, raw - parsed AS missing,
       CASE WHEN raw = parsed THEN '' ELSE (raw - parsed) || ' emails missing!!' END AS note
       FROM (SELECT list, count(*) AS raw, count(*) FILTER (NOT ({_BROKEN}) AND NOT ({_STRAY})) AS parsed
         FROM mails GROUP BY list)"""),
     "reconcile_with_dead": _mails(f"""SELECT list, count(*) AS raw,
       count(*) FILTER (NOT ({_BROKEN}) AND NOT ({_STRAY})) AS parsed,
-      count(*) FILTER ({_BROKEN} OR {_STRAY}) AS dead, 0 AS missing, '' AS note
+      count(*) FILTER ({_BROKEN} OR {_STRAY}) AS dead, CAST(0 AS BIGINT) AS missing, '' AS note
       FROM mails GROUP BY list"""),
-    "reconcile_total": _mails(f"""SELECT raw, parsed, 0 AS dead, raw - parsed AS missing,
+    "reconcile_total": _mails(f"""SELECT raw, parsed, CAST(0 AS BIGINT) AS dead, raw - parsed AS missing,
       CASE WHEN raw = parsed THEN '' ELSE (raw - parsed) || ' emails missing!!' END AS note
       FROM (SELECT count(*) AS raw, count(*) FILTER (NOT ({_BROKEN}) AND NOT ({_STRAY})) AS parsed
         FROM mails)"""),
@@ -370,7 +370,7 @@ ORACLE: dict[str, str] = {
       count(*) FILTER (src = 'd') AS batches, max(article_no) AS last_article
       FROM mails GROUP BY list"""),
     "ingest_status": _mails("""SELECT list, max(article_no) + 10 AS high, max(article_no) AS last_article,
-      count(*) AS new_mails, 10 AS backlog,
+      count(*) AS new_mails, CAST(10 AS BIGINT) AS backlog,
       'Collected ' || count(*) || ' new e-mails from "' || list || '"' AS status
       FROM mails GROUP BY list
       UNION ALL SELECT 'list-empty', 0, 0, 0, 0, 'No New e-mails from "list-empty"'"""),
