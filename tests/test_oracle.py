@@ -20,10 +20,12 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    # Corpus operators that SQL can't express have tests of their own.
+    assert set(driver.QUERIES) == set(driver.ORACLE)
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query(spark, tables, name):
     assert spark_rows(driver.queries()[name](spark, SF_DIR)) == sql_rows(tables, driver.oracle_sql()[name])
 
