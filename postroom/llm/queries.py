@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .sharding import op4_byte_shards
+from .token_counts import op9_counts
 
 
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return op9_counts(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
+    "op9_token_counts": op9_token_counts,
 }
 
 #: Only what SQL can express; the others are tested against brute force.
