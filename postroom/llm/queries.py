@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .line_quality import OP2_SQL, op2_line_rules
 from .sharding import op4_byte_shards
 from .token_counts import op9_counts
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_line_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_byte_shards(table(spark, sf_dir, "documents"))
 
@@ -22,9 +27,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op4_shards": op4_shards,
     "op9_token_counts": op9_token_counts,
 }
 
 #: Only what SQL can express; the others are tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality": OP2_SQL,
+}
