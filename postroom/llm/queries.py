@@ -9,18 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .line_quality import OP2_SQL, op2_line_rules
+from .mixing import OP3_SQL, op3_mix
 from .sharding import op4_byte_shards
 from .token_counts import op9_counts
+from .toxicity import op6_ftrl
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_line_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_mix(table(spark, sf_dir, "documents"))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_ftrl(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return op9_counts(table(spark, sf_dir, "documents"), path)
@@ -28,11 +38,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
     "op4_shards": op4_shards,
+    "op6_toxicity": op6_toxicity,
     "op9_token_counts": op9_token_counts,
 }
 
 #: Only what SQL can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op2_quality": OP2_SQL,
+    "op3_mixing": OP3_SQL,
 }
