@@ -6,6 +6,9 @@ model is fitted in one task on a bounded sample of labelled rows (documented
 below), with per-coordinate learning rates and L1, so most weights are exactly
 zero; at most ``2 ** BITS`` weights are sent out. Every whole text is scored.
 
+A feature is fitted only where the labels of its rows in the sample differ from
+chance; this keeps the noise of a million rare features out of the weights.
+
 Fitting: at most MAX_TRAIN_ROWS labelled rows, those with the smallest hash of
 their id, in that order, EPOCHS times. Rows with crc32(doc_id as text) mod 3 = 1
 are held out and never fitted on. A document labelled twice is toxic if either
@@ -33,8 +36,10 @@ from .common import in_order, map_steps, mix, raw_texts, steps
 
 BITS = 20
 MAX_TRAIN_ROWS = 12_000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.5, 1.0
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 1.0, 1.0
+#: Features whose labels lie closer to chance, in standard deviations, stay at 0.
+MIN_DEVIATION = 3.5
 CUT = 0.7
 
 _WORD = re.compile(r"\w+")
@@ -98,6 +103,20 @@ class Ftrl:
         self.n0 += g * g
 
 
+def screen(
+    examples: list[tuple[np.ndarray, int]], bits: int = BITS
+) -> list[tuple[np.ndarray, int]]:
+    """The examples with only those features that the labels depend on."""
+    rate = sum(label for _, label in examples) / max(1, len(examples))
+    rows, excess = np.zeros(1 << bits), np.zeros(1 << bits)
+    for index, label in examples:
+        rows[index] += 1
+        excess[index] += label - rate
+    # One is added to the variance, so that a handful of rows proves nothing.
+    telling = np.abs(excess) >= MIN_DEVIATION * np.sqrt(rows * rate * (1 - rate) + 1)
+    return [(index[telling[index]], label) for index, label in examples]
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
@@ -120,6 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, flo
             for k, label in enumerate(batch.column("label").to_pylist()):
                 # Owners rise within each kind of feature, and there are three.
                 examples.append((np.unique(index[owner == k]).astype(np.int32), int(label > 0)))
+        examples = screen(examples)
         model = Ftrl()
         for _ in range(EPOCHS):
             for index, label in examples:
