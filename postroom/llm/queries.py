@@ -11,6 +11,7 @@ from .common import table
 from .line_quality import OP2_SQL, op2_line_rules
 from .mixing import OP3_SQL, op3_mix
 from .sharding import op4_byte_shards
+from .substrings import op7_repeats
 from .token_counts import op9_counts
 from .toxicity import op6_ftrl
 
@@ -31,6 +32,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_ftrl(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return op9_counts(table(spark, sf_dir, "documents"), path)
@@ -41,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_shards": op4_shards,
     "op6_toxicity": op6_toxicity,
+    "op7_substrings": op7_substrings,
     "op9_token_counts": op9_token_counts,
 }
 
