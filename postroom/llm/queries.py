@@ -8,14 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import op1_leaks
 from .line_quality import OP2_SQL, op2_line_rules
 from .mixing import OP3_SQL, op3_mix
+from .near_copies import op8_links
 from .sharding import op4_byte_shards
 from .substrings import op7_repeats
 from .token_counts import op9_counts
 from .toxicity import op6_ftrl
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_line_rules(table(spark, sf_dir, "documents"))
 
@@ -36,17 +42,23 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_links(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return op9_counts(table(spark, sf_dir, "documents"), path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_shards": op4_shards,
     "op6_toxicity": op6_toxicity,
     "op7_substrings": op7_substrings,
+    "op8_near_copies": op8_near_copies,
     "op9_token_counts": op9_token_counts,
 }
 
