@@ -2,40 +2,41 @@
 
 A passage is ``length`` words or more in a row that also stand in another text.
 Seeds are winnowed anchors: of every ``length - SEED + 1`` seeds (hashes of SEED
-words) in a row the least is an anchor, so each run of ``length`` words holds at
-least one, and equal runs hold the same. The steps:
-
-1. Each text gives its distinct anchors. They are counted by anchor; those that
-   stand in one text only are dropped. A second join gives each text its shared
-   anchors.
-2. Extension: from its shared anchors a text is extended both ways over all runs
-   of ``length`` words that hold one as their least seed. What is joined that way
-   is a candidate, a maximal stretch that may be repeated; it is known by the hash
-   of its words. Equal stretches form a class, whose first text is its least id.
-3. Each distinct stretch is looked at once: its runs of words are hashed, and the
-   least id of each run over all classes says which runs have an earlier text.
-4. A text loses the words of those runs. For a copy of a class's stretch that is
-   all of it; only the class's first text needs the finer answer.
-
-So a passage that stands in a third of all texts is shuffled once per text as one
-short row, and looked at once. All counts are summed before the shuffle, joins
-have one row per key on one side, and Spark splits the other side where it is
-skewed. Hashes have 64 bits for seeds and 128 bits for stretches and runs.
+words) in a row the least is an anchor, so each run of ``length`` words holds just
+one as its least, and equal runs hold the same. The steps:
+
+1. Each text gives its anchors, each with a hash of what it extends to: the
+   stretch, both ways, of all runs that hold it as their least seed. By anchor,
+   the least id and the number of different extensions are found. Anchors of one
+   text are dropped.
+2. Where all texts extend an anchor alike, the question is settled: every text
+   but the first loses the stretch.
+3. Elsewhere the texts are looked at again, and the anchor is extended run by run:
+   the least id of each run says who loses it. This is the rare part: stretches
+   next to an edit or at a passage's end, and short seeds that agree by chance.
+4. Runs that go are joined to maximal stretches, whose words are removed.
+
+A passage that stands in a third of all texts is so shuffled as one short row per
+text and anchor. Everything is summed before it is shuffled; joins have one row
+per key on one side, and Spark splits the other where it is skewed. The texts are
+shuffled once, packed, and used for both looks. A run is known by 128 bits of
+hashes; extensions are told apart by 32 bits beside the 64 of their anchor.
 
 Nulls: a null text has no words; a null id is never earlier than another row, and
 gets nothing removed. Rows that repeat an id are no earlier than each other:
-neither makes the other's words go. Texts shorter than ``length`` lose
-nothing. Texts are taken whole, however long. An empty table gives an empty
-result. Further columns are ignored.
+neither makes the other's words go. Texts shorter than ``length`` lose nothing.
+Texts are taken whole, however long. An empty table gives an empty result. Further
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import struct
+from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,7 @@ from .common import (
     in_order,
     long_column,
     map_steps,
+    mix,
     raw_texts,
     within,
     word_hashes,
@@ -54,6 +56,8 @@ from .common import (
 LENGTH = 13
 SEED = 5
 
+_NONE = np.zeros(0, np.uint64)
+
 
 def _sliding(a: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:
     """The least or largest of every ``n`` neighbours."""
@@ -72,181 +76,161 @@ def least_seeds(h: np.ndarray, length: int) -> np.ndarray:
     return _sliding(gram_hashes(h, SEED), length - SEED + 1, np.minimum)
 
 
+def _runs(own: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least seed and hash of every run of one text's words."""
+    return least_seeds(own, length), gram_hashes(own, length)
+
+
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, anchor: the distinct anchors of each row."""
+    """doc_id, anchor, extension: the distinct ones of each row."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         flat, bounds = words_of(raw_texts(batch))
         if len(flat) < length:
             return None
-        least = least_seeds(word_hashes(flat), length)[: max(0, len(flat) - length + 1)]
         inside = within(bounds, length)
-        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(least)]
-        least, owner = least[inside], owner[inside]
-        # Neighbouring runs mostly have the same anchor.
+        least, run = (a[inside] for a in _runs(word_hashes(flat), length))
+        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(inside)][inside]
+        if not len(least):
+            return None
+        # Neighbouring runs with one least seed are one extension of it.
         new = np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])]
-        pairs = np.unique(np.rec.fromarrays([owner[new], least[new]]))
-        ids = batch.column("doc_id").take(pa.array(pairs["f0"]))
-        return pa.RecordBatch.from_arrays([ids, long_column(pairs["f1"].copy())], ["doc_id", "anchor"])
+        starts = np.flatnonzero(new)
+        with np.errstate(over="ignore"):
+            whole = mix(np.add.reduceat(mix(run), starts)) >> np.uint64(32)
+        found = np.unique(
+            np.rec.fromarrays([owner[starts], least[starts], whole.astype(np.uint32).view(np.int32)])
+        )
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").take(pa.array(found["f0"])),
+                long_column(found["f1"].copy()),
+                pa.array(found["f2"].copy()),
+            ],
+            ["doc_id", "anchor", "extension"],
+        )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_steps(docs, step, f"doc_id {kind}, anchor long")
-
+    return map_steps(docs, step, f"doc_id {kind}, anchor long, extension int")
 
-def _key(digest: bytes) -> tuple[int, int]:
-    return struct.unpack("<qq", digest)
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, pack: the texts, compressed for the shuffle."""
 
-def stretches(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, row_key, start, n, k1, k2, hashes: candidate stretches of each row.
-
-    ``docs`` has doc_id, row_key, text and the array ``shared`` of its shared anchors.
-    ``hashes`` are the hashes of the stretch's words.
-    """
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        flat, bounds = words_of(raw_texts(batch))
-        h = word_hashes(flat)
-        shared = batch.column("shared")
-        rows: list[tuple[int, int, int, int, int]] = []
-        parts: list[np.ndarray] = []
-        for i in range(batch.num_rows):
-            own = h[bounds[i] : bounds[i + 1]]
-            if len(own) < length:
-                continue
-            wanted = shared[i].values.to_numpy().view(np.uint64)
-            hit = np.flatnonzero(np.isin(least_seeds(own, length), wanted))
-            if not len(hit):
-                continue
-            breaks = np.flatnonzero(np.diff(hit) > 1)
-            firsts, lasts = hit[np.r_[0, breaks + 1]], hit[np.r_[breaks, len(hit) - 1]]
-            for first, last in zip(firsts.tolist(), lasts.tolist()):
-                words = own[first : last + length]
-                k1, k2 = _key(xxhash.xxh3_128_digest(words.tobytes()))
-                rows.append((i, first, len(words), k1, k2))
-                parts.append(words)
-        if not rows:
-            return None
-        at, start, n, k1, k2 = zip(*rows)
-        offsets = np.r_[0, np.cumsum(n)].astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id").take(pa.array(at)),
-                batch.column("row_key").take(pa.array(at)),
-                pa.array(start, pa.int32()),
-                pa.array(n, pa.int32()),
-                pa.array(k1, pa.int64()),
-                pa.array(k2, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets), long_column(np.concatenate(parts))),
-            ],
-            ["doc_id", "row_key", "start", "n", "k1", "k2", "hashes"],
-        )
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        packs = pa.array([pack(t) for t in raw_texts(batch)], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), packs], ["doc_id", "pack"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, row_key long, start int, n int, k1 long, k2 long"
-    return map_steps(docs, step, f"{schema}, hashes array<bigint>")
+    return map_steps(docs, step, f"doc_id {kind}, pack binary")
 
 
-def runs_of(classes: DataFrame, length: int) -> DataFrame:
-    """k1, k2, first_id, at, r1, r2: each run of words of each class's stretch."""
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for i, p in enumerate(batch.column("pack").to_pylist()):
+        yield i, unpack(p)
 
-    def run(batches):
-        for batch in batches:
-            # Piece by piece: a run's row is longer than a word's.
-            for k in range(batch.num_rows):
-                piece = batch.slice(k, 1)
-                h = piece.column("hashes")[0].values.to_numpy().view(np.uint64)
-                with np.errstate(over="ignore"):
-                    one = gram_hashes(h, length)
-                    two = gram_hashes(h * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1), length)
-                for a in range(0, len(one), 50_000):
-                    z = np.zeros(len(one[a : a + 50_000]), np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *(piece.column(c).take(pa.array(z)) for c in ("k1", "k2", "first_id")),
-                            pa.array(np.arange(a, a + len(z), dtype=np.int32)),
-                            long_column(one[a : a + 50_000]),
-                            long_column(two[a : a + 50_000]),
-                        ],
-                        ["k1", "k2", "first_id", "at", "r1", "r2"],
-                    )
-
-    kind = classes.schema["first_id"].dataType.simpleString()
-    return classes.mapInArrow(
-        run, f"k1 long, k2 long, first_id {kind}, at int, r1 long, r2 long"
-    )
 
+def _hashes(column: pa.Array, i: int) -> np.ndarray:
+    return column[i].values.to_numpy().view(np.uint64) if column[i].is_valid else _NONE
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, row_key, spans: the stretches of words that stand in an earlier text.
 
-    ``spans`` is an array of (start, n) in words, for the rows that have any;
-    spans of one row may overlap. ``docs`` has doc_id, text and row_key, a hash
-    of the text, which tells rows of one id apart.
-    """
-    if length < SEED:
-        raise ValueError(f"passages have {SEED} words at least")
+def open_runs(texts: DataFrame, length: int) -> DataFrame:
+    """doc_id, anchor, run: runs of each row whose anchor is in the array ``open``."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column("open")
+            for i, text in _unpacked(batch) if wanted.null_count < len(wanted) else ():
+                if not wanted[i].is_valid:
+                    continue
+                least, run = _runs(word_hashes(text.split()), length)
+                hit = np.isin(least, _hashes(wanted, i))
+                pairs = np.unique(np.rec.fromarrays([least[hit], run[hit]]))
+                for a in range(0, len(pairs), 100_000):
+                    some = pairs[a : a + 100_000]
+                    ids = batch.column("doc_id").take(pa.array(np.full(len(some), i)))
+                    columns = [ids, long_column(some["f0"].copy()), long_column(some["f1"].copy())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor", "run"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(look, f"doc_id {kind}, anchor long, run long")
+
+
+def repeats(docs: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, gone, runs: the anchors whose stretches a text loses, and single runs."""
     known = docs.where(F.col("doc_id").isNotNull())
     seeds = anchors(known, length)
-    ids = seeds.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    shared = ids.where("lo < hi").select("anchor")
-    of_doc = seeds.join(shared, "anchor").groupBy("doc_id")
-    of_doc = of_doc.agg(F.collect_set("anchor").alias("shared"))  # as long as one text at most
-    found = written(stretches(known.join(of_doc, "doc_id"), length), "stretches")
-
-    classes = found.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("first_id"), F.first("hashes").alias("hashes")
+    by_anchor = seeds.groupBy("anchor").agg(
+        F.min("doc_id").alias("least"),
+        F.count("*").alias("times"),
+        F.min("extension").alias("one"),
+        F.max("extension").alias("other"),
     )
-    runs = written(runs_of(classes, length), "runs")
-    # Only runs that stand in several classes can have a first text other than their class's.
-    several = runs.groupBy("r1", "r2").agg(
-        F.min("first_id").alias("least"), F.max("first_id").alias("most")
+    shared = by_anchor.where("times > 1").selectExpr("anchor", "least", "one <> other AS open")
+    own = seeds.select("doc_id", "anchor").join(shared, "anchor")
+    own = own.where("open OR doc_id > least").groupBy("doc_id")
+    # As many anchors as one text has, at most.
+    own = own.agg(
+        F.collect_set(F.when(~F.col("open"), F.col("anchor"))).alias("gone"),
+        F.collect_set(F.when(F.col("open"), F.col("anchor"))).alias("open"),
     )
-    several = several.where("least < most").drop("most")
-    earlier = runs.join(several, ["r1", "r2"]).where("least < first_id")
-    # One row per class, as long as its stretch at most.
-    inner = earlier.groupBy("k1", "k2").agg(F.collect_set("at").alias("inner"))
-    firsts = classes.drop("hashes").join(inner, ["k1", "k2"], "left")
-
-    members = found.drop("hashes").join(firsts, ["k1", "k2"])
-    one = F.array(F.struct("start", "n"))
-    parts = F.transform(
-        F.coalesce("inner", F.array().cast("array<int>")),
-        lambda a: F.struct((F.col("start") + a).alias("start"), F.lit(length).alias("n")),
+    own = written(own, "anchors")
+
+    # Rows without such anchors come along and nothing is written in between, so
+    # that this join and the last one share one shuffle of the texts.
+    again = open_runs(texts.join(own.select("doc_id", "open"), "doc_id", "left"), length)
+    first = again.groupBy("anchor", "run").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("times")
     )
-    spans = F.when(F.col("doc_id") > F.col("first_id"), one).otherwise(parts)
-    members = members.select("doc_id", "row_key", F.explode(spans).alias("span"))
-    return members.groupBy("doc_id", "row_key").agg(F.collect_set("span").alias("spans"))
+    lost = again.join(first.where("times > 1").drop("times"), ["anchor", "run"])
+    lost = lost.where("doc_id > least").groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
+    return own.select("doc_id", "gone").join(lost, "doc_id", "full")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words, joined by blanks."""
-    rows = in_order(docs, "doc_id", "text").withColumn("row_key", F.xxhash64("text"))
-    spans = repeated_spans(rows, length)
-    marked = rows.join(spans, ["doc_id", "row_key"], "left").select("doc_id", "text", "spans")
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    if length < SEED:
+        raise ValueError(f"passages have {SEED} words at least")
+    rows = in_order(docs, "doc_id", "text")
+    texts = packed(rows)
+    marked = texts.join(repeats(rows, texts, length), "doc_id", "left")
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kept, n_words, n_removed = [], [], []
-        for text, spans in zip(raw_texts(batch), batch.column("spans").to_pylist()):
-            words = text.split()
-            gone = np.zeros(len(words), bool)
-            for span in spans or ():
-                gone[span["start"] : span["start"] + span["n"]] = True
-            n_words.append(len(words))
-            n_removed.append(int(gone.sum()))
-            kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]))
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(n_words, pa.int64()),
-                pa.array(n_removed, pa.int64()),
-                pa.array(kept, pa.binary()).cast(pa.string()),
-            ],
-            ["doc_id", "n_words", "n_removed", "kept"],
-        )
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gone, runs = batch.column("gone"), batch.column("runs")
+            kept, n_words, n_removed = [], [], []
+            for i, text in _unpacked(batch):
+                words, removed = text.split(), 0
+                whole, single = _hashes(gone, i), _hashes(runs, i)
+                if len(words) >= length and len(whole) + len(single):
+                    least, run = _runs(word_hashes(words), length)
+                    hit = np.flatnonzero(np.isin(least, whole) | np.isin(run, single))
+                    out = np.zeros(len(words) + 1, np.int64)
+                    np.add.at(out, hit, 1)
+                    np.add.at(out, hit + length, -1)
+                    stays = np.cumsum(out)[:-1] == 0
+                    removed = len(words) - int(stays.sum())
+                    words_kept = list(compress(words, stays.tolist()))
+                else:
+                    words_kept = words
+                n_words.append(len(words))
+                n_removed.append(removed)
+                kept.append(b" ".join(words_kept))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(n_words, pa.int64()),
+                    pa.array(n_removed, pa.int64()),
+                    pa.array(kept, pa.binary()).cast(pa.string()),
+                ],
+                ["doc_id", "n_words", "n_removed", "kept"],
+            )
 
-    return map_steps(marked, step, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_words long, n_removed long, kept string"
+    return marked.select("doc_id", "pack", "gone", "runs").mapInArrow(cut, schema)
 
 
 def op7_repeats(documents: DataFrame) -> DataFrame:
