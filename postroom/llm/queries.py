@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import op1_leaks
+from .licences import OP10_SQL, op10_licence_scan
 from .line_quality import OP2_SQL, op2_line_rules
 from .mixing import OP3_SQL, op3_mix
 from .near_copies import op8_links
+from .personal_data import op5_spans
 from .sharding import op4_byte_shards
 from .substrings import op7_repeats
 from .token_counts import op9_counts
@@ -34,6 +36,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_ftrl(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,19 +57,26 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_licence_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_shards": op4_shards,
+    "op5_personal_data": op5_personal_data,
     "op6_toxicity": op6_toxicity,
     "op7_substrings": op7_substrings,
     "op8_near_copies": op8_near_copies,
     "op9_token_counts": op9_token_counts,
+    "op10_licences": op10_licences,
 }
 
 #: Only what SQL can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op2_quality": OP2_SQL,
     "op3_mixing": OP3_SQL,
+    "op10_licences": OP10_SQL,
 }
