@@ -3,9 +3,11 @@
 Documents are put in cells by source, language and topic, and a cell weighs its
 tokens. Iterative proportional fitting scales the cells to the target share of
 each source, then of each language, then of each topic, ``rounds`` times. A
-document is kept with the probability of its cell, raked weight over token
-weight, relative to the cell that is to grow most; a hash of its id decides, so
-the sample is the same however often it is drawn.
+document is kept with the probability of its cell, raked weight over token weight
+times one factor, 1 at most. The factor is calibrated so that ``keep`` of all
+tokens are expected; each of a few rounds gives what cells that are kept whole
+can't take to the others. A hash of the id decides, so the sample is the same
+however often it is drawn.
 
 Targets are shares by value, or an exponent that flattens the measured shares.
 Only cells are shuffled while raking. They are few beside the documents, and the
@@ -32,6 +34,9 @@ from .common import in_order, text_of, written
 AXES = ("source", "lang", "topic")
 FLATTEN = 0.7
 ROUNDS = 8
+#: Expected share of the tokens that stay.
+KEEP = 0.6
+CALIBRATIONS = 6
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,6 +65,7 @@ def rake(
     cells: DataFrame,
     targets: Mapping[str, float | Mapping[str, float]] | None = None,
     rounds: int = ROUNDS,
+    keep: float = KEEP,
 ) -> DataFrame:
     """Cells (axes, tokens) with their raked weight and probability."""
     targets = targets or {}
@@ -82,8 +88,20 @@ def rake(
             )
     raked = written(fixed, "raked")
     ratio = F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).otherwise(0.0)
-    top = (raked.agg(F.max(ratio)).first() or [0.0])[0] or 1.0
-    return raked.select(*AXES, "tokens", "raked", (ratio / F.lit(top)).alias("probability"))
+    raked = raked.withColumn("ratio", ratio)
+    factor = 0.0
+    for k in range(CALIBRATIONS):  # two or three numbers come back each time
+        whole = F.lit(factor) * F.col("ratio") >= 1
+        sums = raked.agg(
+            F.sum(F.col("tokens").cast("double")).alias("all"),
+            F.sum(F.when(whole, F.col("tokens").cast("double")).otherwise(0.0)).alias("whole"),
+            F.sum(F.when(~whole, F.col("raked")).otherwise(0.0)).alias("rest"),
+        ).first()
+        if not sums or not sums["rest"]:
+            break
+        factor = max(factor, (keep * sums["all"] - sums["whole"]) / sums["rest"])
+    probability = F.least(F.lit(1.0), F.lit(factor) * F.col("ratio"))
+    return raked.select(*AXES, "tokens", "raked", probability.alias("probability"))
 
 
 def draw(doc_id: Column, seed: str) -> Column:
@@ -98,6 +116,7 @@ def sample(
     seed: str = "mix",
     rounds: int = ROUNDS,
     topic: Column | None = None,
+    keep: float = KEEP,
 ) -> DataFrame:
     """``row`` (the input row), topic, tokens, probability and kept."""
     text = text_of()
@@ -108,7 +127,7 @@ def sample(
         (topic_of(text) if topic is None else topic).alias("topic"),
         F.regexp_count(text, F.lit(_WORD)).cast("long").alias("tokens"),
     )
-    cells = rake(marked.groupBy(*AXES).agg(F.sum("tokens").alias("tokens")), targets, rounds)
+    cells = rake(marked.groupBy(*AXES).agg(F.sum("tokens").alias("tokens")), targets, rounds, keep)
     cells = cells.select(*[F.col(a).alias(f"cell_{a}") for a in AXES], "probability")
     same = [F.col(a).eqNullSafe(F.col(f"cell_{a}")) for a in AXES]
     return marked.join(cells, same[0] & same[1] & same[2]).select(
@@ -162,18 +181,26 @@ def _op3_sql() -> str:
             )
             n += 1
     ctes.append(
-        f"""cells AS (SELECT source, lang, topic,
-  CASE WHEN tokens > 0 THEN raked / tokens ELSE 0 END AS ratio FROM step{n})"""
+        f"""cells AS MATERIALIZED (SELECT source, lang, topic, tokens, raked,
+  CASE WHEN tokens > 0 THEN raked / tokens ELSE 0 END AS ratio FROM step{n}),
+factor0 AS (SELECT 0.0::DOUBLE AS f)"""
     )
+    for k in range(CALIBRATIONS):
+        ctes.append(
+            f"""factor{k + 1} AS MATERIALIZED (SELECT greatest(any_value(f), coalesce(
+  ({KEEP} * sum(tokens) - sum(CASE WHEN f * ratio >= 1 THEN tokens ELSE 0 END))
+  / nullif(sum(CASE WHEN f * ratio < 1 THEN raked ELSE 0 END), 0), 0)) AS f
+  FROM cells, factor{k})"""
+        )
     return (
         "WITH "
         + ",\n".join(ctes)
         + f"""
 SELECT m.doc_id, m.source, m.lang, m.topic, m.tokens,
-  round(ratio / (SELECT max(ratio) FROM cells), 6) AS probability,
+  round(least(1.0, f * ratio), 6) AS probability,
   ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0
-    < ratio / (SELECT max(ratio) FROM cells) AS kept
-FROM marked m JOIN cells c ON {same}
+    < least(1.0, f * ratio) AS kept
+FROM marked m JOIN cells c ON {same}, factor{CALIBRATIONS}
 """
     )
 
