@@ -36,11 +36,13 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    STEP_BYTES,
     gram_hashes,
     in_order,
     long_column,
@@ -56,8 +58,6 @@ from .common import (
 LENGTH = 13
 SEED = 5
 
-_NONE = np.zeros(0, np.uint64)
-
 
 def _sliding(a: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:
     """The least or largest of every ``n`` neighbours."""
@@ -76,11 +76,6 @@ def least_seeds(h: np.ndarray, length: int) -> np.ndarray:
     return _sliding(gram_hashes(h, SEED), length - SEED + 1, np.minimum)
 
 
-def _runs(own: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least seed and hash of every run of one text's words."""
-    return least_seeds(own, length), gram_hashes(own, length)
-
-
 def anchors(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, anchor, extension: the distinct ones of each row."""
 
@@ -89,7 +84,8 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
         if len(flat) < length:
             return None
         inside = within(bounds, length)
-        least, run = (a[inside] for a in _runs(word_hashes(flat), length))
+        h = word_hashes(flat)
+        least, run = least_seeds(h, length)[inside], gram_hashes(h, length)[inside]
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(inside)][inside]
         if not len(least):
             return None
@@ -98,14 +94,13 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
         starts = np.flatnonzero(new)
         with np.errstate(over="ignore"):
             whole = mix(np.add.reduceat(mix(run), starts)) >> np.uint64(32)
-        found = np.unique(
-            np.rec.fromarrays([owner[starts], least[starts], whole.astype(np.uint32).view(np.int32)])
-        )
+        owner, least = owner[starts], least[starts]
+        one = _first_of_each(owner, mix(least) ^ whole)
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").take(pa.array(found["f0"])),
-                long_column(found["f1"].copy()),
-                pa.array(found["f2"].copy()),
+                batch.column("doc_id").take(pa.array(owner[one])),
+                long_column(least[one]),
+                pa.array(whole[one].astype(np.uint32).view(np.int32)),
             ],
             ["doc_id", "anchor", "extension"],
         )
@@ -126,14 +121,54 @@ def packed(docs: DataFrame) -> DataFrame:
     return map_steps(docs, step, f"doc_id {kind}, pack binary")
 
 
-def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    for i, p in enumerate(batch.column("pack").to_pylist()):
-        yield i, unpack(p)
-
-
-def _hashes(column: pa.Array, i: int) -> np.ndarray:
-    return column[i].values.to_numpy().view(np.uint64) if column[i].is_valid else _NONE
+def _keyed(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values told apart by their row as well."""
+    with np.errstate(over="ignore"):
+        return mix(values + owner.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
+def _first_of_each(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Places of the first of equal values of a row."""
+    return np.sort(np.unique(_keyed(owner, values), return_index=True)[1])
+
+
+def _listed(column: pa.Array, owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values, each of a row, are in the array that the row has in ``column``."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    flat = column.flatten().to_numpy().view(np.uint64)
+    wanted = _keyed(np.repeat(np.arange(len(lengths)), lengths), flat)
+    hit = np.zeros(len(values), bool)
+    if len(wanted):
+        have = _keyed(owner, values)
+        # A bit for each value first: most values are not listed.
+        low = np.uint64((1 << 20) - 1)
+        bits = np.zeros(1 << 20, bool)
+        bits[wanted & low] = True
+        maybe = np.flatnonzero(bits[have & low])
+        hit[maybe] = np.isin(have[maybe], wanted)
+    return hit
+
+
+def _looks(batch: pa.RecordBatch, length: int) -> Iterator[tuple]:
+    """Pieces of a batch: its rows, words and their bounds; owner, place, least seed and run."""
+    unpack, texts, size, first = zstandard.ZstdDecompressor().decompress, [], 0, 0
+    packs = batch.column("pack").to_pylist()
+    for i, p in enumerate(packs):
+        texts.append(unpack(p))
+        size += len(texts[-1])
+        if size < STEP_BYTES and i < len(packs) - 1:
+            continue
+        flat, bounds = words_of(texts)
+        inside = within(bounds, length)
+        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))[: len(inside)][inside]
+        if len(flat) >= length:
+            h = word_hashes(flat)
+            least, run = least_seeds(h, length)[inside], gram_hashes(h, length)[inside]
+        else:
+            least = run = np.zeros(0, np.uint64)
+        rows = batch.slice(first, len(texts))
+        yield rows, flat, bounds, owner, np.flatnonzero(inside), least, run
+        texts, size, first = [], 0, i + 1
 
 
 def open_runs(texts: DataFrame, length: int) -> DataFrame:
@@ -141,17 +176,15 @@ def open_runs(texts: DataFrame, length: int) -> DataFrame:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column("open")
-            for i, text in _unpacked(batch) if wanted.null_count < len(wanted) else ():
-                if not wanted[i].is_valid:
-                    continue
-                least, run = _runs(word_hashes(text.split()), length)
-                hit = np.isin(least, _hashes(wanted, i))
-                pairs = np.unique(np.rec.fromarrays([least[hit], run[hit]]))
-                for a in range(0, len(pairs), 100_000):
-                    some = pairs[a : a + 100_000]
-                    ids = batch.column("doc_id").take(pa.array(np.full(len(some), i)))
-                    columns = [ids, long_column(some["f0"].copy()), long_column(some["f1"].copy())]
+            # Rows without open anchors are not looked at again.
+            batch = batch.filter(batch.column("open").is_valid())
+            for rows, _, _, owner, _, least, run in _looks(batch, length):
+                hit = np.flatnonzero(_listed(rows.column("open"), owner, least))
+                hit = hit[_first_of_each(owner[hit], run[hit])]
+                for a in range(0, len(hit), 100_000):
+                    some = hit[a : a + 100_000]
+                    ids = rows.column("doc_id").take(pa.array(owner[some]))
+                    columns = [ids, long_column(least[some]), long_column(run[some])]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor", "run"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -199,34 +232,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, runs = batch.column("gone"), batch.column("runs")
-            kept, n_words, n_removed = [], [], []
-            for i, text in _unpacked(batch):
-                words, removed = text.split(), 0
-                whole, single = _hashes(gone, i), _hashes(runs, i)
-                if len(words) >= length and len(whole) + len(single):
-                    least, run = _runs(word_hashes(words), length)
-                    hit = np.flatnonzero(np.isin(least, whole) | np.isin(run, single))
-                    out = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(out, hit, 1)
-                    np.add.at(out, hit + length, -1)
-                    stays = np.cumsum(out)[:-1] == 0
-                    removed = len(words) - int(stays.sum())
-                    words_kept = list(compress(words, stays.tolist()))
-                else:
-                    words_kept = words
-                n_words.append(len(words))
-                n_removed.append(removed)
-                kept.append(b" ".join(words_kept))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(n_words, pa.int64()),
-                    pa.array(n_removed, pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
-                ],
-                ["doc_id", "n_words", "n_removed", "kept"],
-            )
+            for part, flat, bounds, owner, place, least, run in _looks(batch, length):
+                hit = _listed(part.column("gone"), owner, least)
+                hit |= _listed(part.column("runs"), owner, run)
+                edges = np.bincount(place[hit], minlength=len(flat) + length + 1)
+                edges = edges - np.r_[np.zeros(length, np.int64), edges[:-length]]
+                stays = np.cumsum(edges)[: len(flat)] == 0
+                kept_before = np.r_[0, np.cumsum(stays)]
+                n_words, n_kept = np.diff(bounds), np.diff(kept_before[bounds])
+                left = list(compress(flat, stays.tolist()))
+                ends = kept_before[bounds].tolist()
+                kept = [b" ".join(left[a:b]) for a, b in zip(ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        long_column(n_words),
+                        long_column(n_words - n_kept),
+                        pa.array(kept, pa.binary()).cast(pa.string()),
+                    ],
+                    ["doc_id", "n_words", "n_removed", "kept"],
+                )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept string"
