@@ -31,6 +31,20 @@ def in_order(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def bounded_sample(df: DataFrame, size: int) -> DataFrame:
+    """About ``size`` rows, drawn by their place in the input; never over twice as many.
+
+    Each task keeps its share, so what is sent on doesn't grow with the tasks, and
+    copies of one row are drawn as often as they stand there. All rows if they are few.
+    """
+    total = df.count()
+    if total <= size:
+        return df
+    place = F.xxhash64(F.monotonically_increasing_id())
+    drawn = df.where(F.pmod(place, F.lit(1 << 30)) < int((1 << 30) * (size / total)))
+    return drawn.limit(2 * size)
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 

@@ -13,8 +13,8 @@ A span has a digit or an ``@`` by its kind's definition, so a window without eit
 has no span whatever the tagger says, and isn't run. Where digits are everywhere,
 all windows are run.
 
-Training: at most TRAIN_TEXTS texts with a digit or an ``@``, those with the least
-hash, and at most TRAIN_WINDOWS windows of them. Without a base span in the sample
+Training: about TRAIN_TEXTS texts with a digit or an ``@``, twice as many at most,
+and at most TRAIN_WINDOWS windows of them. Without a base span in the sample
 nothing is trained or added.
 
 Nulls: a null text is empty; a null id is carried along. Empty texts have no spans.
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tagger
-from .common import in_order, map_steps, raw_texts, steps
+from .common import bounded_sample, in_order, map_steps, raw_texts, steps
 
 # Kinds in order, and their patterns. Where a run of one class may be
 # long, the pattern starts at the run's first character only, which changes no match
@@ -187,8 +187,8 @@ def _char_row(window: str) -> np.ndarray:
 
 def fit(docs: DataFrame) -> tagger.Params | None:
     """Train in one task on the bounded sample; the weights are a few thousand numbers."""
-    hashed = in_order(docs, "text").where(F.col("text").rlike("[0-9@]"))
-    hashed = hashed.withColumn("h", F.xxhash64("text")).orderBy("h", "text").limit(TRAIN_TEXTS)
+    marked = in_order(docs, "text").where(F.col("text").rlike("[0-9@]"))
+    hashed = bounded_sample(marked, TRAIN_TEXTS).withColumn("h", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows: list[tuple[str, list[Span]]] = []
@@ -206,7 +206,7 @@ def fit(docs: DataFrame) -> tagger.Params | None:
                 [pa.array([pickle.dumps(model)], pa.binary())], ["model"]
             )
 
-    got = hashed.orderBy("h").coalesce(1).select("text").mapInArrow(run, "model binary").collect()
+    got = hashed.orderBy("h", "text").coalesce(1).select("text").mapInArrow(run, "model binary").collect()
     return pickle.loads(got[0]["model"]) if got else None
 
 

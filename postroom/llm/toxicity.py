@@ -9,8 +9,8 @@ zero; at most ``2 ** BITS`` weights are sent out. Every whole text is scored.
 A feature is fitted only where the labels of its rows in the sample differ from
 chance; this keeps the noise of a million rare features out of the weights.
 
-Fitting: at most MAX_TRAIN_ROWS labelled rows, those with the smallest hash of
-their id, in that order, EPOCHS times. Rows with crc32(doc_id as text) mod 3 = 1
+Fitting: about MAX_TRAIN_ROWS labelled rows, twice as many at most, drawn by a hash
+of their id and taken in its order, EPOCHS times. Rows with crc32(doc_id as text) mod 3 = 1
 are held out and never fitted on. A document labelled twice is toxic if either
 label says so. The label's column is read for fitting only.
 
@@ -126,9 +126,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, flo
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     usable = usable.where(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    place = F.xxhash64(F.col("doc_id"))
-    chosen = usable.withColumn("place", place).orderBy("place", "doc_id").limit(MAX_TRAIN_ROWS)
-    # At most MAX_TRAIN_ROWS short rows, so the broadcast has a bound.
+    chosen = usable.withColumn("place", F.xxhash64(F.col("doc_id")))
+    total = usable.count()
+    if total > MAX_TRAIN_ROWS:
+        share = int((1 << 30) * (MAX_TRAIN_ROWS / total))
+        chosen = chosen.where(F.pmod("place", F.lit(1 << 30)) < share).limit(2 * MAX_TRAIN_ROWS)
+    # At most 2 * MAX_TRAIN_ROWS short rows, so the broadcast has a bound.
     rows = in_order(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
     ordered = rows.select("place", "label", "text").orderBy("place").coalesce(1)
 
