@@ -40,6 +40,7 @@ HEADLINE = (
     "size_report",
     "author_lists",
     "date_stats",
+    "value_quantiles",
     "rolling_activity",
     "rolling_events",
     "ingest_twice",

@@ -18,7 +18,6 @@ from ..functions.headers import (
     list_value,
     split_message_sql,
 )
-from ..functions.loose_dates import fill_unread_dates
 from ..functions.patches import extract_patches
 from ..functions.text import (
     decode_utf8,
@@ -82,6 +81,8 @@ def parse_mail(raw: DataFrame, loose_dates: bool = False) -> DataFrame:
     columns = [values[n].alias(n) for n in STORED_MAIL_SCHEMA.fieldNames()]
     if not loose_dates:
         return fields.select(*columns)
+    from ..functions.loose_dates import fill_unread_dates  # pandas, only when asked for
+
     parsed = fields.select(*columns, date_text.alias("__date_text"))
     return fill_unread_dates(parsed, DATE_FIELD, "__date_text").drop("__date_text")
 

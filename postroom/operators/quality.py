@@ -82,18 +82,32 @@ def find_one(mail: DataFrame, message_id: str):
     return rows[0] if rows else None
 
 
-def gap_ranges(landed: DataFrame, group: str = "list", number: str = "article_no") -> DataFrame:
+def gap_ranges(
+    landed: DataFrame,
+    group: str = "list",
+    number: str = "article_no",
+    catalogue: DataFrame | None = None,
+) -> DataFrame:
     """Runs of missing numbers between the lowest and highest one of each group.
 
+    ``catalogue`` (group, low, high) says which numbers there should be: then what
+    is missing at both ends counts too, and groups with nothing landed.
+
     Numbers are gathered by block, which bounds what one row or sort can hold
     however long or uneven the groups are; neighbours are compared inside
     blocks, then block ends with block starts. Columns: group, first_missing, last_missing, missing.
     """
-    number_block = F.floor(F.col("n") / _BLOCK)
+    number_block = F.shiftright(F.col("n"), _BLOCK.bit_length() - 1)
+    numbers = landed.where(F.col(number).isNotNull()).select(
+        group, F.col(number).cast("long").alias("n")
+    )
+    if catalogue is not None:
+        # As if the numbers just outside had landed: the ends are gaps like others.
+        outside = F.array(F.col("low").cast("long") - 1, F.col("high").cast("long") + 1)
+        ends = catalogue.where("low <= high").select(group, F.explode(outside).alias("n"))
+        numbers = numbers.unionByName(ends)
     blocks = (
-        landed.where(F.col(number).isNotNull())
-        .select(group, F.col(number).cast("long").alias("n"))
-        .groupBy(group, number_block.alias("block"))
+        numbers.groupBy(group, number_block.alias("block"))
         .agg(F.sort_array(F.collect_set("n")).alias("ns"))
     )
     pairs = F.arrays_zip(
@@ -121,9 +135,14 @@ def gap_ranges(landed: DataFrame, group: str = "list", number: str = "article_no
     )
 
 
-def gaps(landed: DataFrame, group: str = "list", number: str = "article_no") -> DataFrame:
+def gaps(
+    landed: DataFrame,
+    group: str = "list",
+    number: str = "article_no",
+    catalogue: DataFrame | None = None,
+) -> DataFrame:
     """Every missing number as a row with the reason, spread in bounded runs."""
-    runs = gap_ranges(landed, group, number).select(
+    runs = gap_ranges(landed, group, number, catalogue).select(
         group,
         "last_missing",
         F.explode(F.sequence("first_missing", "last_missing", F.lit(_BLOCK).cast("long"))).alias("start"),

@@ -27,19 +27,22 @@ from ..sources.mail import read_dead_letters, read_identity_map, read_mail
 PARSED, ERRORS = "parsed", "errors"
 
 
-def parse_archive(raw: DataFrame, out: str, lists: Iterable[str] | None = None) -> None:
+def parse_archive(
+    raw: DataFrame, out: str, lists: Iterable[str] | None = None, loose_dates: bool = False
+) -> None:
     """Parse raw mails into ``<out>/parsed``; failures go to ``<out>/errors``.
 
-    The lists that are parsed are replaced whole, dead letters included.
+    The lists that are parsed (``None``: all) are replaced whole, dead letters
+    included; a list without any mail left is empty afterwards.
     """
     names = None if lists is None else list(lists)
     if names is not None:
         raw = raw.where(F.col("list").isin(*names))
-    write_mail(parse_mail(raw), f"{out}/{PARSED}")
+    write_mail(parse_mail(raw, loose_dates=loose_dates), f"{out}/{PARSED}", processed=names)
     write_dead_letters(dead_letters(raw), f"{out}/{ERRORS}", processed=names)
 
 
-def retry_dead_letters(raw: DataFrame, out: str) -> None:
+def retry_dead_letters(raw: DataFrame, out: str, loose_dates: bool = False) -> None:
     """Parse the mails among the dead letters again, from their raw files.
 
     Those that parse now are appended; the rest stay dead letters. Mails that
@@ -56,7 +59,7 @@ def retry_dead_letters(raw: DataFrame, out: str) -> None:
 
     stored = read_mail(spark, f"{out}/{PARSED}", names, with_article=True).select(*key)
     stored = stored.join(keys, key, "left_semi")
-    parsed = parse_mail(again).join(stored, key, "left_anti")
+    parsed = parse_mail(again, loose_dates=loose_dates).join(stored, key, "left_anti")
     write_mail(parsed, f"{out}/{PARSED}", mode="append")
 
     # Dead letters whose raw mail is gone stay too; nothing is lost.
@@ -74,8 +77,9 @@ def pseudonymise_archive(
     tolerant: bool = False,
 ) -> None:
     """Write the pseudonymised copy and the identity maps under ``out``."""
-    mail = read_mail(spark, parsed, lists, tolerant=tolerant)
-    write_archive(pseudonymised_datasets(mail, key=key), out)
+    names = None if lists is None else list(lists)
+    mail = read_mail(spark, parsed, names, tolerant=tolerant)
+    write_archive(pseudonymised_datasets(mail, key=key), out, processed=names)
 
 
 def analyse_archive(

@@ -238,6 +238,14 @@ ORACLE: dict[str, str] = {
     "find_by_id": _alive("""SELECT list, article_no, 'Re: topic: ' || k AS subject FROM alive
       WHERE message_id = '<9.d@mail.example>'"""),
     "gap_ranges": _mails(_GAPS.format(source="mails")),
+    "stored_reparse_emptied": _mails(f"""SELECT list, count(*) AS raw,
+      count(*) FILTER (NOT ({_BROKEN}) AND NOT ({_STRAY}) AND list <> 'list-user') AS parsed,
+      count(*) FILTER ({_BROKEN} OR {_STRAY} OR list = 'list-user') AS dead,
+      CAST(0 AS BIGINT) AS missing FROM mails GROUP BY list"""),
+    "gaps_to_catalogue": _mails(f"""SELECT list, unnest(range(first_missing, last_missing + 1)) AS article_no,
+      'article unavailable' AS error FROM ({_GAPS.format(source="""(SELECT list, article_no FROM mails
+        UNION ALL SELECT list, unnest([-3, max(article_no) + 4]) FROM mails GROUP BY list
+        UNION ALL SELECT 'list-empty', unnest([4, 10]))""")})"""),
     "gaps": _mails(f"""SELECT list, unnest(range(first_missing, last_missing + 1)) AS article_no,
       'article unavailable' AS error FROM ({_GAPS.format(source="mails")})"""),
     "order_gaps": """SELECT g.l_returnflag, g.n AS l_orderkey FROM (
@@ -253,6 +261,7 @@ ORACLE: dict[str, str] = {
     "mails_after": _alive(f"""SELECT list, count(*) AS mails, strftime(min(sent), {_TIME}) AS first_date
       FROM alive WHERE sent > TIMESTAMP '2020-01-01' GROUP BY list"""),
     "hash_columns": "SELECT c_custkey, sha1(c_name) AS c_name FROM customer",
+    "hash_missing_column": "SELECT c_custkey, sha1(c_name) AS c_name FROM customer",
     "hash_lists": _unfold(
         "SELECT p_partkey, list_transform(string_split(p_name, ' '), lambda x: sha1(x)) AS items FROM part",
         "p_partkey",
@@ -309,6 +318,8 @@ ORACLE: dict[str, str] = {
             ("user_id", "number"),
             ("event_type", "text"),
             ("value", "number"),
+            ("ts", "time"),
+            ("props", "text"),
         )
     ),
     "profile_mail": _alive(
@@ -369,11 +380,16 @@ ORACLE: dict[str, str] = {
     "ingest_twice": _mails("""SELECT list, count(*) AS mails,
       count(*) FILTER (src = 'd') AS batches, max(article_no) AS last_article
       FROM mails GROUP BY list"""),
+    "ingest_twice_contents": _mails("""SELECT list, article_no, md5(article_no::VARCHAR) AS content_md5
+      FROM mails WHERE src = 'd'"""),
+    "batch_rewritten": _mails("""SELECT list, count(*) AS mails, max(article_no) AS last_article
+      FROM mails WHERE src = 'd' GROUP BY list"""),
     "ingest_status": _mails("""SELECT list, max(article_no) + 10 AS high, max(article_no) AS last_article,
       count(*) AS new_mails, CAST(10 AS BIGINT) AS backlog,
+      round(max(article_no) / (max(article_no) + 10) * 100, 2) AS percent,
       'Collected ' || count(*) || ' new e-mails from "' || list || '"' AS status
       FROM mails GROUP BY list
-      UNION ALL SELECT 'list-empty', 0, 0, 0, 0, 'No New e-mails from "list-empty"'"""),
+      UNION ALL SELECT 'list-empty', 0, 0, 0, 0, NULL, 'No New e-mails from "list-empty"'"""),
     "new_articles": _mails("""SELECT m.list, m.article_no FROM mails m LEFT JOIN
       (SELECT list, CAST(floor(max(article_no) / 2) AS BIGINT) AS mark FROM mails
         WHERE list <> 'src3' GROUP BY list) USING (list)

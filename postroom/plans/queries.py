@@ -173,10 +173,20 @@ def stored_reparse(spark, sf):
     """One list parsed again: it is replaced whole, the others stay."""
     root = _stored(spark, sf)
     again = mail_archive(spark, sf).where(F.col("list") == "list-user")
-    write_mail(parse.parse_mail(again), root)
+    write_mail(parse.parse_mail(again), root, processed=["list-user"])
     return read_mail(spark, root).groupBy("list").agg(F.count(F.lit(1)).alias("mails"))
 
 
+def stored_reparse_emptied(spark, sf):
+    """A list whose mails no longer parse: none of them is left among the parsed."""
+    root = scratch_dir(spark)
+    raw = mail_archive(spark, sf)
+    jobs.parse_archive(raw, root)
+    broken = F.concat(F.col("content"), F.unhex(F.lit("FF")))
+    jobs.parse_archive(raw.withColumn("content", broken), root, lists=["list-user"])
+    return jobs.check_archive(raw, root).select("list", "raw", "parsed", "dead", "missing")
+
+
 def landed_mails(spark, sf):
     root = scratch_dir(spark)
     land_raw(mail_archive(spark, sf), root)
@@ -244,6 +254,16 @@ def gaps(spark, sf):
     return quality.gaps(_turn_numbers(spark, sf))
 
 
+def gaps_to_catalogue(spark, sf):
+    """Against a catalogue that begins lower, ends higher and names one list more."""
+    landed = mail_texts(spark, sf).select("list", "article_no")
+    catalogue = landed.groupBy("list").agg(
+        F.lit(-2).cast("long").alias("low"), (F.max("article_no") + 3).alias("high")
+    )
+    empty = spark.createDataFrame([("list-empty", 5, 9)], "list string, low long, high long")
+    return quality.gaps(landed, catalogue=catalogue.unionByName(empty))
+
+
 def order_gaps(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey")
     return quality.gaps(lines, group="l_returnflag", number="l_orderkey").drop("error")
@@ -289,6 +309,12 @@ def hash_columns(spark, sf):
     return pseudonyms.hash_columns(customer, ["c_name"], []).select("c_custkey", "c_name")
 
 
+def hash_missing_column(spark, sf):
+    """A column that the table doesn't have is passed over."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return pseudonyms.hash_columns(customers, ["c_name", "no_such_column"], [])
+
+
 def hash_lists(spark, sf):
     words = table(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
     hashed = pseudonyms.hash_columns(words, ["words"], [])
@@ -346,9 +372,7 @@ def pseudonymised_mail(spark, sf):
 def stored_archive(spark, sf):
     """The pseudonymised copy and its identity map, written and read back."""
     root = scratch_dir(spark)
-    # The slowest level is for lists of real size: it sets up large tables for
-    # every column of every file, which here would be all the work.
-    write_archive(pseudonyms.pseudonymised_datasets(_mail(spark, sf)), root, level=3)
+    write_archive(pseudonyms.pseudonymised_datasets(_mail(spark, sf)), root)
     main = read_mail(spark, f"{root}/{pseudonyms.MAIN_DATASET}")
     pairs = read_identity_map(spark, f"{root}/{pseudonyms.MAP_PREFIX}from")
     both = main.select("list", F.lit("main").alias("dataset"), "from").unionByName(
@@ -425,8 +449,7 @@ def first_and_last(spark, sf):
 
 
 def profile_events(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    return _profile(profiling.profile(events))
+    return _profile(profiling.profile(table(spark, sf, "events")))
 
 
 def profile_mail(spark, sf):
@@ -529,6 +552,31 @@ def ingest_twice(spark, sf):
     )
 
 
+def ingest_twice_contents(spark, sf):
+    """As ``ingest_twice``, but each mail's contents are read as well."""
+    root = scratch_dir(spark)
+    _land(mail_archive(spark, sf), root)
+    _run(spark, root)
+    newer = _documents(spark, sf).withColumn(
+        "modificationTime", F.col("modificationTime") + F.expr("interval 1 day")
+    )
+    _land(newer.withColumn("content", F.encode(F.col("article_no").cast("string"), "UTF-8")), root)
+    _run(spark, root)
+    newest = streaming.latest(streaming.read_ingested(spark, f"{root}/store"))
+    own = newest.where(F.startswith("list", F.lit("src")))
+    return own.select("list", "article_no", F.md5("content").alias("content_md5"))
+
+
+def batch_rewritten(spark, sf):
+    """One batch stored twice, the second time with fewer lists: only those are left."""
+    root = scratch_dir(spark)
+    streaming.store_batch(mail_archive(spark, sf), -1, root)
+    streaming.store_batch(_documents(spark, sf), -1, root)
+    mails = streaming.read_ingested(spark, root).groupBy("list").agg(F.count(F.lit(1)).alias("mails"))
+    marks = streaming.high_water_marks(streaming.read_marks(spark, root))
+    return mails.join(marks, "list", "full")
+
+
 def ingest_status(spark, sf):
     root = scratch_dir(spark)
     _land(mail_archive(spark, sf), root)
@@ -537,7 +585,7 @@ def ingest_status(spark, sf):
     empty = spark.createDataFrame([("list-empty", 0)], "list string, high long")
     marks = streaming.read_marks(spark, f"{root}/store")
     status = streaming.ingest_status(catalogue.unionByName(empty), marks, batch=0)
-    return status.select("list", "high", "last_article", "new_mails", "backlog", "status")
+    return status.select("list", "high", "last_article", "new_mails", "backlog", "percent", "status")
 
 
 def _documents(spark, sf) -> DataFrame:
@@ -589,6 +637,7 @@ QUERIES: dict[str, Query] = {
         stored_lists,
         stored_some_lists,
         stored_reparse,
+        stored_reparse_emptied,
         landed_mails,
         stored_dead_letters,
         retried_mails,
@@ -600,12 +649,14 @@ QUERIES: dict[str, Query] = {
         find_by_id,
         gap_ranges,
         gaps,
+        gaps_to_catalogue,
         order_gaps,
         select_lists,
         select_all_lists,
         article_range,
         mails_after,
         hash_columns,
+        hash_missing_column,
         hash_lists,
         hash_fields,
         hash_struct,
@@ -631,6 +682,8 @@ QUERIES: dict[str, Query] = {
         rolling_events,
         ingest_once,
         ingest_twice,
+        batch_rewritten,
+        ingest_twice_contents,
         ingest_status,
         new_articles,
         backfilled,

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import materialise, scratch_dir
+
 PARTITION = "list"
 
 # How the pseudonymised copy is stored. Level 22 is the smallest
@@ -22,8 +25,8 @@ ARCHIVE_PAGE_BYTES = 4 * 1024 * 1024
 #: Rows per file, so that one file holds about one row group of this size.
 ARCHIVE_ROWS = 1024 * 1024
 
-# Spread of a list over writers when Spark may not re-plan at run time.
-_FIXED_SPREAD = 64
+#: Writers that a list is spread over when Spark may not re-plan at run time.
+FIXED_SPREAD = 64
 
 
 def write_partitioned(
@@ -33,14 +36,19 @@ def write_partitioned(
     order_by: Iterable[str] = (),
     options: dict[str, str] | None = None,
     max_rows: int | None = None,
+    fixed_spread: int = FIXED_SPREAD,
+    whole_table: bool = False,
 ) -> None:
     """Write a table partitioned by list.
 
-    ``overwrite`` replaces the lists that ``df`` holds and leaves others alone;
-    ``append`` adds files. ``max_rows`` bounds the rows of one file.
+    ``overwrite`` replaces the lists that ``df`` holds and leaves others alone, or
+    with ``whole_table`` everything; ``append`` adds files. ``max_rows`` bounds the
+    rows of one file. ``fixed_spread`` counts only with run-time planning off: so
+    many tasks share a list then.
     """
-    spread = _spread(df).sortWithinPartitions(PARTITION, *order_by)
-    writer = spread.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    spread = _spread(df, fixed_spread).sortWithinPartitions(PARTITION, *order_by)
+    how = "static" if whole_table else "dynamic"
+    writer = spread.write.mode(mode).option("partitionOverwriteMode", how)
     for name, value in (options or {}).items():
         writer = writer.option(name, value)
     if max_rows is not None:
@@ -48,12 +56,44 @@ def write_partitioned(
     writer.partitionBy(PARTITION).parquet(root)
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def replace_lists(
+    df: DataFrame, root: str, processed: Iterable[str] | None = None, **options
+) -> None:
+    """Write ``df``; of ``processed`` lists (``None``: all) nothing older is left.
+
+    New rows are safely written before anything is dropped: the write replaces the
+    lists that have rows now, and a list whose old files are still there afterwards
+    has none any more.
+    """
+    spark = df.sparkSession
+    old = _files(spark, root)
+    old = None if old is None else materialise(old, f"{scratch_dir(spark)}/old")
+    write_partitioned(df, root, **options)
+    now = None if old is None else _files(spark, root)
+    if now is None:
+        return
+    stale = now.join(old, [PARTITION, "file"], "left_semi").select(PARTITION).distinct()
+    names = {r[PARTITION] for r in stale.collect()}  # names of lists
+    drop_partitions(spark, root, sorted(names if processed is None else names & set(processed)))
+
+
+def _files(spark: SparkSession, root: str) -> DataFrame | None:
+    """list, file: what a table consists of; ``None`` before it is first written."""
+    try:
+        stored = spark.read.schema(f"{PARTITION} string").parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return stored.select(PARTITION, F.col("_metadata.file_path").alias("file")).distinct()
+
+
+def _spread(df: DataFrame, fixed_spread: int = FIXED_SPREAD) -> DataFrame:
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         return df.hint("rebalance", PARTITION)
     # Without run-time re-planning a hot list is salted up front, by content,
     # so that a task run again sends each row where it went before.
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _salt_columns(df)]), F.lit(_FIXED_SPREAD))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _salt_columns(df)]), F.lit(fixed_spread))
     return df.repartition(F.col(PARTITION), salt)
 
 
@@ -62,15 +102,29 @@ def _salt_columns(df: DataFrame) -> list[str]:
     return preferred or [c for c in df.columns if c != PARTITION]
 
 
-def land_raw(raw: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Gather small raw files into one Parquet table, a partition per list."""
+def land_raw(
+    raw: DataFrame, root: str, mode: str = "overwrite", processed: Iterable[str] | None = None
+) -> None:
+    """Gather small raw files into one Parquet table, a partition per list.
+
+    ``overwrite`` replaces ``processed`` lists (``None``: all) whole.
+    """
     columns = ("path", "modificationTime", "length", "content", "article_no", PARTITION)
-    write_partitioned(raw.select(*columns), root, mode, order_by=["article_no"])
+    _write(raw.select(*columns), root, mode, processed, ["article_no"])
 
 
-def write_mail(mail: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Write parsed mails; the lists they belong to are replaced whole."""
-    write_partitioned(mail, root, mode, order_by=["date"])
+def write_mail(
+    mail: DataFrame, root: str, mode: str = "overwrite", processed: Iterable[str] | None = None
+) -> None:
+    """Write parsed mails; ``processed`` lists (``None``: all) are replaced whole."""
+    _write(mail, root, mode, processed, ["date"])
+
+
+def _write(df, root, mode, processed, order_by) -> None:
+    if mode == "overwrite":
+        replace_lists(df, root, processed, order_by=order_by)
+    else:
+        write_partitioned(df, root, mode, order_by)
 
 
 def write_dead_letters(
@@ -78,18 +132,13 @@ def write_dead_letters(
 ) -> None:
     """Write dead letters and clear those of earlier runs.
 
-    ``processed`` names the lists that were parsed; their old partitions go
-    first, as a list may have no dead letter any more and an overwrite would
-    then leave the old ones. ``None`` means all lists: everything is replaced.
+    ``processed`` names the lists that were parsed, ``None`` means all: a list may
+    have no dead letter any more, and then its old ones go.
     """
-    if processed is None:
-        spread = _spread(dead).sortWithinPartitions(PARTITION)
-        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(PARTITION).parquet(root)
-        return
-    processed = list(processed)
-    drop_partitions(dead.sparkSession, root, processed)
-    write_partitioned(dead.where(F.col(PARTITION).isin(*processed)), root)
+    if processed is not None:
+        processed = list(processed)
+        dead = dead.where(F.col(PARTITION).isin(*processed))
+    replace_lists(dead, root, processed)
 
 
 def drop_partitions(spark: SparkSession, root: str, names: Iterable[str]) -> None:
@@ -116,10 +165,18 @@ def write_archive(
     root: str,
     level: int = ARCHIVE_LEVEL,
     max_rows: int = ARCHIVE_ROWS,
+    processed: Iterable[str] | None = None,
 ) -> None:
-    """Write the pseudonymised datasets, each under its own name."""
+    """Write the pseudonymised datasets, each under its own name.
+
+    ``processed`` lists (``None``: all) are replaced whole: one that was withdrawn
+    is in neither the copy nor the identity maps afterwards.
+    """
+    names = None if processed is None else list(processed)
     for name, df in datasets.items():
-        write_partitioned(df, f"{root}/{name}", options=archive_options(level), max_rows=max_rows)
+        replace_lists(
+            df, f"{root}/{name}", names, options=archive_options(level), max_rows=max_rows
+        )
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:

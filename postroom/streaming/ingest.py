@@ -22,26 +22,39 @@ from ..sources.selection import article_range
 # Fixed value: how often a running ingest looks for new mails.
 POLL = "1 hour"
 
+#: Files older than this beside the newest one seen are passed over without a word.
+#: Archives keep the times of old mails, so the default never is.
+MAX_AGE = "36500d"
+
 _MAILS = T.StructType([*RAW_SCHEMA.fields, T.StructField("batch", T.LongType())])
 
 
-def mail_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """New ``.eml`` files under ``root`` as they appear."""
+def mail_stream(
+    spark: SparkSession, root: str, max_files: int | None = None, max_age: str = MAX_AGE
+) -> DataFrame:
+    """New ``.eml`` files under ``root`` as they appear, however old.
+
+    The driver lists all files and remembers them. For tens of millions of mails
+    use :func:`landed_stream`, whose files are few.
+    """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", MAIL_GLOB)
         .option("recursiveFileLookup", "true")
     )
-    return with_origin(_rate(reader, max_files).load(root))
+    return with_origin(_rate(reader, max_files, max_age).load(root))
 
 
-def landed_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """New files of a landed raw table as they appear."""
-    return _rate(spark.readStream.schema(RAW_SCHEMA), max_files).parquet(root)
+def landed_stream(
+    spark: SparkSession, root: str, max_files: int | None = None, max_age: str = MAX_AGE
+) -> DataFrame:
+    """New files of a landed raw table as they appear, however old."""
+    return _rate(spark.readStream.schema(RAW_SCHEMA), max_files, max_age).parquet(root)
 
 
-def _rate(reader, max_files: int | None):
+def _rate(reader, max_files: int | None, max_age: str):
+    reader = reader.option("maxFileAge", max_age)
     return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
 
 
@@ -61,7 +74,8 @@ def ingest(
 def store_batch(batch: DataFrame, number: int, target: str) -> None:
     """Write one batch of raw mails and its marks."""
     mails = f"{target}/mails/batch={number}"
-    write_partitioned(batch.select(*RAW_SCHEMA.fieldNames()), mails, order_by=["article_no"])
+    rows = batch.select(*RAW_SCHEMA.fieldNames())
+    write_partitioned(rows, mails, order_by=["article_no"], whole_table=True)
     # Counted from what was just written, so the source is read only once.
     written = batch.sparkSession.read.schema(RAW_SCHEMA).parquet(mails)
     marks = written.groupBy("list").agg(
