@@ -281,8 +281,9 @@ ORACLE: dict[str, str] = {
       coalesce((SELECT string_agg(attribution, ',' ORDER BY pos) FROM people p
         WHERE p.list = alive.list AND p.article_no = alive.article_no), '') AS roles
       FROM alive"""),
-    "stored_archive": _alive("""SELECT list, dataset, count(*) AS mails, min(sha1(sender)) AS lowest
-      FROM alive, (VALUES ('main'), ('map')) AS d(dataset) GROUP BY list, dataset"""),
+    "stored_archive": _alive("""SELECT CASE WHEN src = 'd' THEN 'documents' ELSE 'conversations' END AS list,
+      dataset, count(*) AS mails, min(sha1(sender)) AS lowest
+      FROM alive, (VALUES ('main'), ('map')) AS d(dataset) GROUP BY ALL"""),
     "list_sizes": _alive("SELECT list, count(sender) AS mails FROM alive GROUP BY list"),
     "list_extremes": f"""WITH s AS ({_SIZES})
       SELECT lo.source AS smallest_list, lo.mails AS smallest_mails,
