@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .parse import split_raw
+
 MESSAGE_ID = "message-id"
 
 # Article numbers are cut into blocks of this size, so that looking for gaps
@@ -32,6 +34,17 @@ def reconcile(raw: DataFrame, parsed: DataFrame, dead: DataFrame | None = None)
     return with_missing(union.groupBy("list").agg(*_sums()))
 
 
+def reconcile_raw(raw: DataFrame) -> DataFrame:
+    """What a parse of ``raw`` will give: all counts from one look at each mail."""
+    failed = F.col("error").isNotNull()
+    counts = split_raw(raw).groupBy("list").agg(
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(~failed).alias("parsed"),
+        F.count_if(failed).alias("dead"),
+    )
+    return with_missing(counts)
+
+
 def reconcile_total(per_list: DataFrame) -> DataFrame:
     """One row over all lists; ``list`` is null in it."""
     total = per_list.agg(*_sums()).select(F.lit(None).cast("string").alias("list"), "raw", "parsed", "dead")

@@ -222,8 +222,7 @@ def reconcile(spark, sf):
 
 
 def reconcile_with_dead(spark, sf):
-    raw = mail_archive(spark, sf)
-    return quality.reconcile(raw, parse.parse_mail(raw), parse.dead_letters(raw))
+    return quality.reconcile_raw(mail_archive(spark, sf))
 
 
 def reconcile_total(spark, sf):
