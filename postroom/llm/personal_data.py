@@ -9,9 +9,10 @@ is in the part for which that window is the middle one; what windows then give f
 a text is joined, and a span is added if it touches no base span and passes its
 kind's check without regard to separators.
 
-A span has a digit or an ``@`` by its kind's definition, so a window without either
-has no span whatever the tagger says, and isn't run. Where digits are everywhere,
-all windows are run.
+A span has a digit, an ``@``, or ``(at)`` or ``at`` before a dotted name by its kind's
+definition, so a window without any has no span whatever the tagger says, and isn't
+run. Where digits are everywhere, all windows are run. Where a span touches a window's
+edge the next window is run as well, and the pieces are also joined.
 
 Training: about TRAIN_TEXTS texts with a digit or an ``@``, twice as many at most,
 and at most TRAIN_WINDOWS windows of them. Without a base span in the sample
@@ -48,6 +49,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
+#: What a span of some kind must hold, rewritten addresses included.
+_AT = r"@|\(at\)|\bat\b"
+_SIGN = re.compile(rf"[0-9@]|(?:{_AT})\s*[A-Za-z0-9-]+\.[A-Za-z0-9-]", re.I)
 
 TRAIN_TEXTS = 3_000
 TRAIN_WINDOWS = 2_000
@@ -223,7 +227,7 @@ def _tagged(kind: str, a: int, b: int, text: str) -> Span | None:
         return None  # a part of a longer number
     found = text[a:b]
     if kind == "email":
-        plain = re.sub(r"\s*(@|\(at\)|\bat\b)\s*", "@", found)
+        plain = re.sub(rf"\s*({_AT})\s*", "@", found, flags=re.I)
         ok = [*_emails(plain)] == [(0, len(plain))]
     elif kind == "ip":
         parts = re.split(r"\s*\.\s*", found)
@@ -236,37 +240,70 @@ def _tagged(kind: str, a: int, b: int, text: str) -> Span | None:
     return (a, b, kind) if ok else None
 
 
+def _last_window(text: str) -> int:
+    return max(0, -(-(len(text) - WIDTH) // STRIDE))
+
+
+def _stitched(pieces: list[tuple[int, int, bool, bool]]) -> list[tuple[int, int]]:
+    """Pieces, with whether a window's edge cuts their start and end, joined where they overlap."""
+    out: list[tuple[int, int, bool]] = []
+    for a, b, cut_start, cut_end in sorted(pieces):
+        if out and a < out[-1][1] and (cut_start or out[-1][2]):
+            start, end, was_cut = out.pop()
+            out.append((start, max(b, end), cut_end if b > end else was_cut))
+        else:
+            out.append((a, b, cut_end))
+    return [(a, b) for a, b, _ in out]
+
+
 def add_spans(texts: list[str], base: list[list[Span]], model: tagger.Params) -> list[list[Span]]:
     """Base spans of each text with those that the tagger adds."""
     where: list[tuple[int, int]] = []
     for t, text in enumerate(texts):
-        marks = np.fromiter((m.start() for m in _MARK.finditer(text)), np.int64)
+        marks = np.fromiter((m.start() for m in _SIGN.finditer(text)), np.int64)
         if len(marks):
-            last = max(0, -(-(len(text) - WIDTH) // STRIDE))
+            last = _last_window(text)
             high = np.minimum(marks // STRIDE, last)
             low = np.maximum(0, -(-(marks - WIDTH + 1) // STRIDE))
             # WIDTH is twice STRIDE, so a place is in two windows at most.
             where += [(t, int(k)) for k in np.unique(np.r_[low, high]) if k <= last]
     out = [list(s) for s in base]
     raw: list[list[Span]] = [[] for _ in texts]
-    for a in range(0, len(where), BATCH):
-        some = where[a : a + BATCH]
-        chars = np.array([_char_row(texts[t][k * STRIDE : k * STRIDE + WIDTH]) for t, k in some])
-        labels = tagger.decode(model, chars.T).T
-        for (t, k), row in zip(some, labels):
-            if not row.any():
-                continue
-            begins = np.flatnonzero((row > 0) & (np.r_[0, row[:-1]] != row) & ((row % 2 == 1) | (np.r_[0, row[:-1]] != row - 1)))
-            for first in begins.tolist():
-                kind, end = (int(row[first]) - 1) // 2, first + 1
-                while end < WIDTH and row[end] == 2 + 2 * kind:
-                    end += 1
-                middle, at = (first + end) / 2, k * STRIDE
-                whole = len(texts[t])
-                left = 0 if k == 0 else STRIDE / 2
-                right = WIDTH if at + WIDTH >= whole else WIDTH - STRIDE / 2
-                if left <= middle < right:
-                    raw[t].append((at + first, min(at + end, whole), KINDS[kind]))
+    pieces: list[dict[str, set]] = [{} for _ in texts]
+    run = set(where)
+    while where:
+        more: set[tuple[int, int]] = set()
+        for a in range(0, len(where), BATCH):
+            some = where[a : a + BATCH]
+            chars = np.array([_char_row(texts[t][k * STRIDE : k * STRIDE + WIDTH]) for t, k in some])
+            labels = tagger.decode(model, chars.T).T
+            for (t, k), row in zip(some, labels):
+                if not row.any():
+                    continue
+                begins = np.flatnonzero((row > 0) & (np.r_[0, row[:-1]] != row) & ((row % 2 == 1) | (np.r_[0, row[:-1]] != row - 1)))
+                for first in begins.tolist():
+                    kind, end = (int(row[first]) - 1) // 2, first + 1
+                    while end < WIDTH and row[end] == 2 + 2 * kind:
+                        end += 1
+                    middle, at = (first + end) / 2, k * STRIDE
+                    whole = len(texts[t])
+                    left = 0 if k == 0 else STRIDE / 2
+                    right = WIDTH if at + WIDTH >= whole else WIDTH - STRIDE / 2
+                    span = (at + first, min(at + end, whole), KINDS[kind])
+                    if left <= middle < right:
+                        raw[t].append(span)
+                    cut_start, cut_end = first == 0 and k > 0, end == WIDTH and at + WIDTH < whole
+                    pieces[t].setdefault(KINDS[kind], set()).add((*span[:2], cut_start, cut_end))
+                    if cut_start:
+                        more.add((t, k - 1))
+                    if cut_end:
+                        more.add((t, k + 1))
+        where = sorted(more - run)
+        run |= more
+    for t, kinds in enumerate(pieces):
+        for kind, found in kinds.items():
+            if any(p[2] or p[3] for p in found):
+                raw[t] += [(a, b, kind) for a, b in _stitched([*found])]
     for t, found in enumerate(raw):
         taken = sorted(out[t])
         for a, b, kind in sorted(set(found), key=lambda s: (s[0], -s[1], KINDS.index(s[2]))):
