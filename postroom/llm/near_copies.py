@@ -147,9 +147,9 @@ def gram_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def linked(
-    sets: list[np.ndarray], side: np.ndarray, threshold: tuple[int, int]
+    sets: list[np.ndarray], side: np.ndarray, threshold: tuple[int, int], across: bool
 ) -> np.ndarray:
-    """Which sets are similar: a square matrix, of pairs across sides if there are two."""
+    """Which sets are similar: a square matrix, of pairs across sides only if asked for."""
     m, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
     grams, owner = np.concatenate(sets), np.repeat(np.arange(m), sizes)
     order = np.argsort(grams, kind="stable")
@@ -168,7 +168,7 @@ def linked(
     num, den = threshold
     same = common * (num + den) >= num * (sizes[:, None] + sizes[None, :])
     np.fill_diagonal(same, False)
-    if len(np.unique(side)) > 1:
+    if across:
         same &= side[:, None] != side[None, :]
     return same
 
@@ -196,7 +196,9 @@ def verify(candidates: DataFrame, threshold: tuple[int, int]) -> DataFrame:
         flat = group.column("grams").combine_chunks()
         values, offsets = flat.values.to_numpy(), flat.offsets.to_numpy()
         sets = [values[a:b] for a, b in zip(offsets, offsets[1:])]
-        same = linked(sets, group.column("own").to_numpy(), threshold)
+        # One side may be empty; pairs inside the other are counted in its own group.
+        across = group.column("left")[0].as_py() != group.column("right")[0].as_py()
+        same = linked(sets, group.column("own").to_numpy(), threshold, across)
         copies = group.column("copies").to_numpy()
         links = (same @ copies.astype(np.float64)).astype(np.int64)
         label = np.arange(len(nodes))
