@@ -17,6 +17,7 @@ from .personal_data import op5_spans
 from .sharding import op4_byte_shards
 from .substrings import op7_repeats
 from .token_counts import op9_counts
+from .token_ids import op11_round_trip
 from .toxicity import op6_ftrl
 
 
@@ -61,6 +62,11 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_licence_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return op11_round_trip(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_copies": op8_near_copies,
     "op9_token_counts": op9_token_counts,
     "op10_licences": op10_licences,
+    "op11_token_ids": op11_token_ids,
 }
 
 #: Only what SQL can express; the others are tested against brute force.
