@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .conversations import op12_repair
 from .decontamination import op1_leaks
 from .licences import OP10_SQL, op10_licence_scan
 from .line_quality import OP2_SQL, op2_line_rules
@@ -67,6 +68,10 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_licences": op10_licences,
     "op11_token_ids": op11_token_ids,
+    "op12_conversations": op12_conversations,
 }
 
 #: Only what SQL can express; the others are tested against brute force.
