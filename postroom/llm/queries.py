@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import op13_alignment
 from .common import table
 from .conversations import op12_repair
 from .decontamination import op1_leaks
@@ -72,6 +73,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_repair(table(spark, sf_dir, "conversations"))
 
 
+def op13_token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    return op13_alignment(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, names))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licences": op10_licences,
     "op11_token_ids": op11_token_ids,
     "op12_conversations": op12_conversations,
+    "op13_token_pairs": op13_token_pairs,
 }
 
 #: Only what SQL can express; the others are tested against brute force.

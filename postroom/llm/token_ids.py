@@ -41,6 +41,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from ..sinks.scratch import scratch_dir
 from .common import in_order, raw_texts, steps, text_of
+from .ragged import Slices
 
 #: Words that a worker remembers; emptied when full, so its memory has a bound.
 CACHE_WORDS = 1_000_000
@@ -76,34 +77,6 @@ def cut_at_blanks(path: str) -> bool:
     )
 
 
-def gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The slices of ``pool`` in a row."""
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
-
-
-class Slices:
-    """Ragged arrays in one growing pool: slice ``i`` is ``pool[start[i]:][:length[i]]``."""
-
-    def __init__(self) -> None:
-        self.pool = np.zeros(0, np.int32)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
-
-    def add(self, flat: np.ndarray, lengths: np.ndarray) -> int:
-        """Append slices; returns the number of the first one."""
-        first = len(self.start)
-        self.start = np.r_[self.start, len(self.pool) + np.cumsum(lengths) - lengths]
-        self.length = np.r_[self.length, lengths]
-        self.pool = np.r_[self.pool, flat.astype(np.int32)]
-        return first
-
-    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lengths = self.length[which]
-        return gather(self.pool, self.start[which], lengths), lengths
-
-
 class TextEncoder:
     """Whole texts through the library; for any vocabulary."""
 
