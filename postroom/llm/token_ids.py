@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,8 +43,8 @@ from ..sinks.scratch import scratch_dir
 from .common import in_order, raw_texts, steps, text_of
 from .ragged import Slices
 
-#: Words that a worker remembers; emptied when full, so its memory has a bound.
-CACHE_WORDS = 1_000_000
+#: Words that a worker remembers; emptied when there are more, so its memory has a bound.
+CACHE_WORDS = 800_000
 
 #: How files are cut: row groups and pages of these sizes, before compression.
 ROW_GROUP_BYTES = 32 << 20
@@ -56,10 +56,9 @@ STORED = "part int, doc_id {id}, first long, n_tokens long, ids array<int>"
 # Fixed value: the split of the vocabularies whose texts may be cut at blanks.
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-# Letters that are one code point in every form, and marks that may close a
-# word: the split parts the two, and lower case is letter by letter.
-# Read line by line: letters, marks, or the whole of any other word.
-_PLAIN = regex.compile(r"(?m)^(?:([a-zß-öø-ÿā-įĳ-ňŊ-ž]+)([.,;:!?]*)|(.*))$")
+# Letters that are one code point in every form and case, and marks that may close
+# a word: the split parts the two.
+_PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]+)(?P<marks>[.,;:!?]*)$"
 
 
 def cut_at_blanks(path: str) -> bool:
@@ -107,53 +106,59 @@ class WordEncoder(TextEncoder):
 
     def forget(self) -> None:
         self.slices = Slices()
-        # No marks are no ids; no word is empty, so that key stands for the end id.
+        # No marks are no ids.
         self.piece_of: dict[str, int] = {"": self.slices.add(np.zeros(0), np.array([0]))}
-        end = self.slices.add(np.array([self.end]), np.array([1]))
-        self.word_of: dict[bytes, int] = {b"": end}
+        self.odd_of: dict[str, int] = {}
+        self.last = self.slices.add(np.array([self.end]), np.array([1]))
 
-    def learn_pieces(self, pieces: list[str]) -> None:
-        if not pieces:
+    def _learn(self, known: dict[str, int], words: list[str], whole: bool) -> None:
+        fresh = [w for w in words if w not in known]
+        if not fresh:
             return
-        found = self.pieces.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
-        first = self.slices.add(np.array(found.ids), lengths)
-        self.piece_of.update(zip(pieces, range(first, first + len(pieces))))
-
-    def learn(self, words: list[bytes]) -> None:
-        lines = b"\n".join(words).decode().lower()
-        found = _PLAIN.findall(lines)
-        plain = [w for w, (letters, _, _) in zip(words, found) if letters]
-        odd = [w for w, (letters, _, _) in zip(words, found) if not letters]
-        parts = [p for letters, marks, _ in found if letters for p in (letters, marks)]
-        self.learn_pieces(list(set(parts).difference(self.piece_of)))
-        two = np.fromiter(map(self.piece_of.__getitem__, parts), np.int64, len(parts))
-        flat, lengths = self.slices.take(two)
-        first = self.slices.add(flat, lengths.reshape(-1, 2).sum(axis=1))
-        self.word_of.update(zip(plain, range(first, first + len(plain))))
-        if odd:
-            found = self.library.encode_batch([w.decode() for w in odd], add_special_tokens=False)
+        if whole:
+            found = self.library.encode_batch(fresh, add_special_tokens=False)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.array([i for e in found for i in e.ids], np.int64)
-            first = self.slices.add(flat, lengths)
-            self.word_of.update(zip(odd, range(first, first + len(odd))))
+            ids = np.array([i for e in found for i in e.ids], np.int64)
+        else:
+            one = self.pieces.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+            lengths = np.bincount(np.array(one.word_ids, np.int64), minlength=len(fresh))
+            ids = np.array(one.ids, np.int64)
+        first = self.slices.add(ids, lengths)
+        known.update(zip(fresh, range(first, first + len(fresh))))
+
+    def _numbers(self, words: pa.Array, whole: bool) -> np.ndarray:
+        """The slice of each word; each distinct one is looked up once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = self.odd_of if whole else self.piece_of
+        self._learn(known, distinct, whole)
+        numbers = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        return numbers[coded.indices.to_numpy()]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat: list[bytes] = []
-        bounds = np.zeros(len(texts) + 1, np.int64)
-        for i, t in enumerate(texts):
-            flat += t.split()
-            flat.append(b"")
-            bounds[i + 1] = len(flat)
-        fresh = set(flat).difference(self.word_of)
-        if len(self.word_of) + len(fresh) > CACHE_WORDS:
+        if len(self.piece_of) + len(self.odd_of) > CACHE_WORDS:
             self.forget()
-            fresh = set(flat)
-        if fresh:
-            fresh.discard(b"")
-            self.learn(list(fresh))
-        which = np.fromiter(map(self.word_of.__getitem__, flat), np.int64, len(flat))
-        ids, lengths = self.slices.take(which)
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        flat = lists.values
+        some = pc.greater(pc.binary_length(flat), 0)  # blanks at the ends give empty words
+        n_words = np.diff(np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))][lists.offsets.to_numpy()])
+        coded = flat.filter(some).dictionary_encode()
+
+        # For each distinct word the slices of its letters and of its marks.
+        words = coded.dictionary
+        parts = pc.extract_regex(words, _PLAIN)
+        plain = parts.is_valid().to_numpy(zero_copy_only=False)
+        parts = parts.drop_null()
+        two = np.empty((len(words), 2), np.int64)
+        two[plain, 0] = self._numbers(pc.utf8_lower(parts.field("letters")), False)
+        two[plain, 1] = self._numbers(parts.field("marks"), False)
+        two[~plain, 0] = self._numbers(words.filter(pa.array(~plain)), True)
+        two[~plain, 1] = self.piece_of[""]
+
+        # All words in a row, and the end id behind each text's words.
+        which = np.insert(two[coded.indices.to_numpy()], np.cumsum(n_words), [self.last, self.piece_of[""]], axis=0)
+        ids, lengths = self.slices.take(which.ravel())
+        bounds = 2 * np.r_[0, np.cumsum(n_words + 1)]
         return ids, np.diff(np.r_[0, np.cumsum(lengths)][bounds])
 
 
