@@ -2,7 +2,7 @@
 
 from .activity import after, rolling_activity, rolling_sums, trailer_counts
 from .authors import author_list_counts, author_lists, repeat_lists
-from .parse import dead_letter_text, dead_letters, parse_mail, split_raw
+from .parse import dead_letter_text, dead_letters, parse_both, parse_mail, split_raw
 from .profiling import date_stats, first_and_last, profile
 from .pseudonyms import hash_columns, identity_map, pseudonymised_datasets
 from .quality import (
@@ -16,7 +16,7 @@ from .quality import (
     reconcile,
     reconcile_total,
 )
-from .quantiles import exact_quantiles, quantile_row
+from .quantiles import exact_quantiles, quantile_row, quantile_rows
 from .sizes import list_extremes, list_sizes, size_quartiles, size_report
 
 __all__ = [
@@ -39,10 +39,12 @@ __all__ = [
     "list_extremes",
     "list_sizes",
     "missing_ids",
+    "parse_both",
     "parse_mail",
     "profile",
     "pseudonymised_datasets",
     "quantile_row",
+    "quantile_rows",
     "reconcile",
     "reconcile_total",
     "repeat_lists",

@@ -1,8 +1,8 @@
 """Raw mails to parsed mails and dead letters.
 
-Both outputs come from the same columns, but neither drags the other along:
-whether a mail is dead depends on its bytes and its first line only, so the
-dead-letter plan carries no header, trailer or patch work.
+:func:`parse_both` gives both from one look at each mail. Alone, neither drags
+the other along: whether a mail is dead depends on its bytes and its first line
+only, so the dead-letter plan carries no header, trailer or patch work.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ TEXT_FIELDS = ("from", "subject", "message-id", "in-reply-to", "x-mailing-list")
 LIST_FIELDS = {"to": ",", "cc": ",", "references": " "}
 DATE_FIELD = "date"
 
+# The tables of an archive.
+PARSED, ERRORS = "parsed", "errors"
+
 NOT_UTF8 = "content is not valid UTF-8"
 NO_FIELD = "header starts with a continuation line"
 
@@ -65,6 +68,27 @@ def parse_mail(raw: DataFrame, loose_dates: bool = False) -> DataFrame:
     ``loose_dates`` gives dates that no known shape fits a second look in Python.
     """
     split = split_raw(raw).where(F.col("error").isNull())
+    return _parsed(split, {}, loose_dates)
+
+
+def parse_both(raw: DataFrame, loose_dates: bool = False) -> DataFrame:
+    """Parsed mails and dead letters from one look at each mail.
+
+    ``table`` says which one a row is; the columns of the other are null.
+    """
+    dead = F.col("error").isNotNull()
+    split = split_raw(raw)
+    split = split.withColumns({n: F.when(~dead, F.col(n)) for n in ("head", "body")})
+    extra = {
+        "path": F.when(dead, F.col("path")),
+        "raw": F.when(dead, F.col("content")),
+        "error": F.col("error"),
+        "table": F.when(dead, ERRORS).otherwise(PARSED),
+    }
+    return _parsed(split, extra, loose_dates)
+
+
+def _parsed(split: DataFrame, extra: dict[str, Column], loose_dates: bool) -> DataFrame:
     names = (*TEXT_FIELDS, DATE_FIELD, *LIST_FIELDS)
     # One column for all fields: it is used many times, so Spark keeps it as a
     # projection of its own and parses each header once.
@@ -76,9 +100,11 @@ def parse_mail(raw: DataFrame, loose_dates: bool = False) -> DataFrame:
     values["trailers"] = extract_trailers(F.col("body"))
     values["code"] = extract_patches(F.col("body"))
     values["raw_body"] = F.col("body")
-    values["article_no"] = F.col("article_no")
-    values["list"] = F.col("list")
+    if extra:  # of a mail that does not parse nothing is stored
+        values = {n: F.when(F.col("error").isNull(), v) for n, v in values.items()}
+    values |= {"article_no": F.col("article_no"), "list": F.col("list")}
     columns = [values[n].alias(n) for n in STORED_MAIL_SCHEMA.fieldNames()]
+    columns += [value.alias(n) for n, value in extra.items()]
     if not loose_dates:
         return fields.select(*columns)
     from ..functions.loose_dates import fill_unread_dates  # pandas, only when asked for

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import from_micros, to_micros
-from .quantiles import exact_quantiles, from_order_key, has_order_key, quantile_row
+from .quantiles import exact_quantiles, has_quantiles, least_and_quantiles, typed
 
 _QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -20,8 +20,7 @@ def date_stats(mail: DataFrame, column: str = "date", rule: str = "nearest") ->
     The quartile is a date that occurs: the one nearest to its rank, or with
     ``rule="discrete"`` the first that a quarter of all dates do not exceed.
     """
-    # The 0 quantile is the minimum, so both come from the same passes.
-    return quantile_row(mail, column, {"min_date": 0.0, "quartile_date": 0.25}, rule)
+    return least_and_quantiles(mail, column, "min_date", {"quartile_date": 0.25}, rule)
 
 
 def first_and_last(mail: DataFrame, column: str = "date") -> DataFrame:
@@ -42,15 +41,12 @@ def profile(df: DataFrame, columns: Iterable[str] | None = None, rule: str = "ne
     stats = df.agg(*[_stats(n, types[n]).alias(f"s{i}") for i, n in enumerate(names)])
     rows = stats.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(names))])))
 
-    ranked = [n for n in names if has_order_key(types[n])]
+    ranked = [n for n in names if has_quantiles(types[n])]
     if not ranked:
         return rows.select("*", *[F.lit(None).cast("string").alias(q) for q in _QUARTILES])
-    found = exact_quantiles(df, ranked, _QUARTILES.values(), rule)
+    found = exact_quantiles(df, ranked, _QUARTILES.values(), [rule])
     value = F.coalesce(
-        *[
-            F.when(F.col("column") == n, from_order_key(F.col("key"), types[n]).cast("string"))
-            for n in ranked
-        ]
+        *[F.when(F.col("column") == n, typed(types[n]).cast("string")) for n in ranked]
     )
     quartiles = (
         found.withColumn("value", value)

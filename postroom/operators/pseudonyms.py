@@ -5,7 +5,7 @@ scalars, list items and struct fields inside lists; nothing is shuffled.
 
 Note what stays in clear: ``subject``, ``raw_body`` and ``code`` quote the same
 people. A plain SHA-1 of an address can be undone by hashing known addresses;
-pass ``key`` for a keyed SHA-256 when the copy leaves the house.
+pass ``key`` for an HMAC-SHA256 when the copy leaves the house. No plan shows it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.digests import keyed_digest, sha1_digest
+from ..functions.digests import INNER, OUTER, keyed_digest, sha1_digest, with_secret
 
 # What is hashed by default, and what gets a map.
 HASHED_COLUMNS = ("from", "to", "cc")
@@ -32,18 +32,18 @@ ORIGINAL_PREFIX = "__original_"
 Digest = Callable[[Column], Column]
 
 
-def digest(key: str | None = None, normalise: bool = False) -> Digest:
-    """The digest to use: plain SHA-1, or keyed when a key is given."""
+def _digest(df: DataFrame, key: str | bytes | None, normalise: bool) -> tuple[DataFrame, Digest]:
+    """The digest to use, plain SHA-1 or keyed, and the data with what it needs."""
     if key is None:
-        return partial(sha1_digest, normalise=normalise)
-    return partial(keyed_digest, key=key, normalise=normalise)
+        return df, partial(sha1_digest, normalise=normalise)
+    return with_secret(df, key), partial(keyed_digest, normalise=normalise)
 
 
 def hash_columns(
     df: DataFrame,
     columns: Iterable[str] = HASHED_COLUMNS,
     fields: Iterable[str] = HASHED_FIELDS,
-    key: str | None = None,
+    key: str | bytes | None = None,
     normalise: bool = False,
 ) -> DataFrame:
     """Replace identities by digests.
@@ -53,7 +53,7 @@ def hash_columns(
     the data lacks is warned about and skipped; a type that cannot be hashed
     raises before anything runs.
     """
-    hashed = digest(key, normalise)
+    keyed, hashed = _digest(df, key, normalise)
     types = {f.name: f.dataType for f in df.schema.fields}
     new: dict[str, Column] = {}
     for name in columns:
@@ -67,22 +67,23 @@ def hash_columns(
             warnings.warn(f"field {path!r} is not in the data, skipped", stacklevel=2)
             continue
         new[name] = _hash_field(new.get(name, _quoted(name)), types[name], field, hashed, path)
-    return df.withColumns(new) if new else df
+    return keyed.withColumns(new).drop(INNER, OUTER) if new else df
 
 
 def identity_map(
     df: DataFrame,
     column: str = "from",
-    key: str | None = None,
+    key: str | bytes | None = None,
     normalise: bool = False,
     distinct: bool = False,
 ) -> DataFrame:
     """Original value and pseudonym, one row per mail (or per pair and list)."""
     if not isinstance(df.schema[column].dataType, T.StringType):
         raise TypeError(f"an identity map needs a string column, not {column!r}")
-    pairs = df.select(
+    keyed, hashed = _digest(df, key, normalise)
+    pairs = keyed.select(
         _quoted(column).alias(ORIGINAL_PREFIX + column),
-        digest(key, normalise)(_quoted(column)).alias(column),
+        hashed(_quoted(column)).alias(column),
         "list",
     )
     return pairs.distinct() if distinct else pairs
@@ -93,7 +94,7 @@ def pseudonymised_datasets(
     columns: Iterable[str] = HASHED_COLUMNS,
     fields: Iterable[str] = HASHED_FIELDS,
     mapped: Iterable[str] = MAPPED_COLUMNS,
-    key: str | None = None,
+    key: str | bytes | None = None,
     normalise: bool = False,
 ) -> dict[str, DataFrame]:
     """The main dataset and one identity map per mapped column, by name."""

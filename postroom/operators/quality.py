@@ -9,9 +9,8 @@ from .parse import split_raw
 
 MESSAGE_ID = "message-id"
 
-# Article numbers are cut into blocks of this size, so that looking for gaps
-# never sorts more than one block in one group.
-_BLOCK = 1 << 16
+# Article numbers are cut into blocks of as many as one bitmap holds.
+_BLOCK = 1 << 15
 
 
 def reconcile(raw: DataFrame, parsed: DataFrame, dead: DataFrame | None = None) -> DataFrame:
@@ -95,6 +94,39 @@ def find_one(mail: DataFrame, message_id: str):
     return rows[0] if rows else None
 
 
+def number_blocks(landed: DataFrame, group: str = "list", number: str = "article_no") -> DataFrame:
+    """Which numbers have landed: group, block, numbers (a bitmap over the block).
+
+    A bitmap takes 4 kB however many rows there are, and is built before the
+    shuffle. Blocks of several batches go together with :func:`merge_blocks`.
+    """
+    n = F.col(number).cast("long")
+    return (
+        landed.where(n.isNotNull())
+        .groupBy(group, F.shiftright(n, _BLOCK.bit_length() - 1).alias("block"))
+        .agg(F.bitmap_construct_agg(n.bitwiseAND(F.lit(_BLOCK - 1))).alias("numbers"))
+    )
+
+
+def merge_blocks(blocks: DataFrame, group: str = "list") -> DataFrame:
+    """One bitmap per group and block, of any number of them."""
+    return blocks.groupBy(group, "block").agg(F.bitmap_or_agg("numbers").alias("numbers"))
+
+
+def _numbers_of_block() -> Column:
+    """The numbers of a block in order, from its bitmap."""
+    # Within a byte the lowest bit comes first, and so must its half of the hex.
+    halves = F.regexp_replace(F.hex("numbers"), "(.)(.)", "$2$1")
+    bits = F.translate(halves, "0123456789ABCDEF", "abcdefghijklmnop")
+    for i, letter in enumerate("abcdefghijklmnop"):
+        bits = F.replace(bits, F.lit(letter), F.lit(f"{i:04b}"[::-1]))
+    start = F.col("block") * _BLOCK
+    places = F.transform(
+        F.split(bits, ""), lambda bit, i: F.when(bit == "1", start + i.cast("long"))
+    )
+    return F.array_compact(places)
+
+
 def gap_ranges(
     landed: DataFrame,
     group: str = "list",
@@ -105,29 +137,31 @@ def gap_ranges(
 
     ``catalogue`` (group, low, high) says which numbers there should be: then what
     is missing at both ends counts too, and groups with nothing landed.
+    Columns: group, first_missing, last_missing, missing.
+    """
+    return block_gaps(number_blocks(landed, group, number), group, catalogue)
+
+
+def block_gaps(
+    blocks: DataFrame, group: str = "list", catalogue: DataFrame | None = None
+) -> DataFrame:
+    """As :func:`gap_ranges`, from merged blocks.
 
-    Numbers are gathered by block, which bounds what one row or sort can hold
-    however long or uneven the groups are; neighbours are compared inside
-    blocks, then block ends with block starts. Columns: group, first_missing, last_missing, missing.
+    Neighbours are compared inside blocks, then block ends with block starts, so
+    what one row holds is bounded however long or uneven the groups are.
     """
-    number_block = F.shiftright(F.col("n"), _BLOCK.bit_length() - 1)
-    numbers = landed.where(F.col(number).isNotNull()).select(
-        group, F.col(number).cast("long").alias("n")
-    )
     if catalogue is not None:
         # As if the numbers just outside had landed: the ends are gaps like others.
         outside = F.array(F.col("low").cast("long") - 1, F.col("high").cast("long") + 1)
         ends = catalogue.where("low <= high").select(group, F.explode(outside).alias("n"))
-        numbers = numbers.unionByName(ends)
-    blocks = (
-        numbers.groupBy(group, number_block.alias("block"))
-        .agg(F.sort_array(F.collect_set("n")).alias("ns"))
-    )
+        blocks = merge_blocks(blocks.unionByName(number_blocks(ends, group, "n")), group)
+    blocks = blocks.select(group, "block", _numbers_of_block().alias("ns"))
     pairs = F.arrays_zip(
         F.slice("ns", F.lit(1), F.size("ns") - 1).alias("n"),
         F.slice("ns", F.lit(2), F.size("ns") - 1).alias("next"),
     )
-    within = blocks.select(group, F.inline(pairs).alias("n", "next"))
+    apart = F.filter(pairs, lambda p: p["next"] > p["n"] + 1)
+    within = blocks.select(group, F.inline(apart).alias("n", "next"))
     across = Window.partitionBy(group).orderBy("block")
     between = blocks.select(
         group,
@@ -155,7 +189,12 @@ def gaps(
     catalogue: DataFrame | None = None,
 ) -> DataFrame:
     """Every missing number as a row with the reason, spread in bounded runs."""
-    runs = gap_ranges(landed, group, number, catalogue).select(
+    return spread_gaps(gap_ranges(landed, group, number, catalogue), group, number)
+
+
+def spread_gaps(ranges: DataFrame, group: str = "list", number: str = "article_no") -> DataFrame:
+    """Runs of missing numbers as one row each."""
+    runs = ranges.select(
         group,
         "last_missing",
         F.explode(F.sequence("first_missing", "last_missing", F.lit(_BLOCK).cast("long"))).alias("start"),

@@ -9,63 +9,62 @@ from pyspark.sql import functions as F
 
 from ..operators.activity import rolling_activity
 from ..operators.authors import author_lists
-from ..operators.parse import dead_letters, parse_mail
+from ..operators.parse import ERRORS, PARSED, parse_both
 from ..operators.profiling import date_stats
 from ..operators.pseudonyms import pseudonymised_datasets
 from ..operators.quality import reconcile
 from ..operators.sizes import list_sizes, size_report
-from ..sinks.scratch import materialise, scratch_dir
-from ..sinks.tables import (
-    write_archive,
-    write_dead_letters,
-    write_mail,
-    write_partitioned,
-    write_report,
-)
+from ..sinks.scratch import scratch
+from ..sinks.tables import write_archive, write_partitioned, write_report, write_tables
+from ..sinks.versions import Version
 from ..sources.mail import read_dead_letters, read_identity_map, read_mail
 
-PARSED, ERRORS = "parsed", "errors"
+_ORDER = ["date", "article_no"]
 
 
 def parse_archive(
     raw: DataFrame, out: str, lists: Iterable[str] | None = None, loose_dates: bool = False
-) -> None:
+) -> Version:
     """Parse raw mails into ``<out>/parsed``; failures go to ``<out>/errors``.
 
-    The lists that are parsed (``None``: all) are replaced whole, dead letters
-    included; a list without any mail left is empty afterwards.
+    Each mail is read and parsed once, and both tables change in one commit. The
+    lists that are parsed (``None``: all) are replaced whole, dead letters included;
+    a list without any mail left is empty afterwards. The version that is returned
+    counts the mails of each list and table.
     """
     names = None if lists is None else list(lists)
     if names is not None:
         raw = raw.where(F.col("list").isin(*names))
-    write_mail(parse_mail(raw, loose_dates=loose_dates), f"{out}/{PARSED}", processed=names)
-    write_dead_letters(dead_letters(raw), f"{out}/{ERRORS}", processed=names)
+    both = parse_both(raw, loose_dates)
+    return write_tables(both, out, [PARSED, ERRORS], names, order_by=_ORDER)
 
 
-def retry_dead_letters(raw: DataFrame, out: str, loose_dates: bool = False) -> None:
+def retry_dead_letters(raw: DataFrame, out: str, loose_dates: bool = False) -> Version:
     """Parse the mails among the dead letters again, from their raw files.
 
-    Those that parse now are appended; the rest stay dead letters. Mails that
-    are stored already are left out, so running it twice changes nothing.
+    Those that parse now are added and leave the dead letters in the same commit;
+    the rest stay. Mails that are stored already are left out, so running it twice
+    changes nothing.
     """
     spark = raw.sparkSession
-    scratch, errors, key = scratch_dir(spark), f"{out}/{ERRORS}", ["list", "article_no"]
-    # What is retried is fixed first: the table it comes from is rewritten below.
-    keys = materialise(read_dead_letters(spark, errors).select(*key), f"{scratch}/keys")
-    # At most one name per list; with them, other lists are not even opened.
-    names = [r["list"] for r in keys.select("list").distinct().collect()]
-    found = raw.where(F.col("list").isin(*names)).join(keys, key, "left_semi")
-    again = materialise(found, f"{scratch}/again")
-
-    stored = read_mail(spark, f"{out}/{PARSED}", names, with_article=True).select(*key)
-    stored = stored.join(keys, key, "left_semi")
-    parsed = parse_mail(again, loose_dates=loose_dates).join(stored, key, "left_anti")
-    write_mail(parsed, f"{out}/{PARSED}", mode="append")
-
-    # Dead letters whose raw mail is gone stay too; nothing is lost.
-    gone = read_dead_letters(spark, errors).join(again.select(*key), key, "left_anti")
-    still_dead = dead_letters(again).unionByName(gone)
-    write_dead_letters(materialise(still_dead, f"{scratch}/dead"), errors)
+    errors, key = f"{out}/{ERRORS}", ["list", "article_no"]
+    with scratch(spark) as kept:
+        dead = read_dead_letters(spark, errors)
+        keys = kept.keep(dead.select(*key), "keys")
+        # At most one name per list; with them, other lists are not even opened.
+        names = [r["list"] for r in keys.select("list").distinct().collect()]
+        found = raw.where(F.col("list").isin(*names)).join(keys, key, "left_semi")
+        again = kept.keep(found, "again")
+
+        stored = read_mail(spark, f"{out}/{PARSED}", names, with_article=True).select(*key)
+        stored = stored.join(keys, key, "left_semi")
+        both = parse_both(again, loose_dates)
+        fresh = both.where(F.col("table") == PARSED).join(stored, key, "left_anti")
+        # Dead letters whose raw mail is gone stay too; nothing is lost.
+        gone = dead.join(again.select(*key), key, "left_anti").withColumn("table", F.lit(ERRORS))
+        rows = fresh.unionByName(both.where(F.col("table") == ERRORS))
+        rows = rows.unionByName(gone, allowMissingColumns=True)
+        return write_tables(rows, out, [ERRORS], order_by=_ORDER)
 
 
 def pseudonymise_archive(

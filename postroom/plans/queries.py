@@ -478,13 +478,9 @@ def _profile(stats: DataFrame) -> DataFrame:
 
 def value_quantiles(spark, sf):
     """Quantiles of a floating point column, by both rank rules."""
-    lines = table(spark, sf, "lineitem")
     probs = {"p1": 0.01, "p50": 0.5, "p99": 0.99}
-    rules = [
-        quantiles.quantile_row(lines, "l_extendedprice", probs, rule).withColumn("rule", F.lit(rule))
-        for rule in ("nearest", "discrete")
-    ]
-    return rules[0].unionByName(rules[1])
+    lines = table(spark, sf, "lineitem")
+    return quantiles.quantile_rows(lines, "l_extendedprice", probs, ["nearest", "discrete"])
 
 
 def rolling_activity(spark, sf):

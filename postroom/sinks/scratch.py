@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,15 +17,19 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Without one, a local session gets a temporary folder; a cluster session
-    is refused, as its executors would not see it.
+    Without one, a local session gets a temporary folder, which goes when the
+    program ends; a cluster session is refused, as its executors would not see it.
     """
-    shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    shared = spark.conf.get(_SETTING, None)
+    if not shared and hasattr(spark, "sparkContext"):  # it may have been set on the context
+        shared = spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/postroom-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="postroom-")
+    folder = tempfile.mkdtemp(prefix="postroom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
@@ -29,3 +37,30 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     and a lost executor costs a re-read, not a re-run."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one job."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder = spark, scratch_dir(spark)
+        self.names: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self.names.append(name)
+        return materialise(df, f"{self.folder}/{name}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Intermediate tables that are emptied when the job ends, well or not.
+
+    Only for jobs that are over by then: a lazy result must not read from them.
+    """
+    tables = Scratch(spark)
+    try:
+        yield tables
+    finally:
+        nothing = spark.createDataFrame([], "emptied boolean")
+        for name in tables.names:
+            nothing.write.mode("overwrite").parquet(f"{tables.folder}/{name}")

@@ -10,13 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise, scratch_dir
-
-PARTITION = "list"
+from .versions import PARTITION, Entry, Version, entries_of, new_run, replace, run_folder, split_root
 
 # How the pseudonymised copy is stored. Level 22 is the smallest
 # and slowest; files and pages are large, so that its set-up cost is spread.
@@ -38,63 +35,63 @@ def write_partitioned(
     max_rows: int | None = None,
     fixed_spread: int = FIXED_SPREAD,
     whole_table: bool = False,
+    above: tuple[str, ...] = (),
 ) -> None:
-    """Write a table partitioned by list.
+    """Write a table partitioned by list, and by the columns ``above`` it if there are any.
 
     ``overwrite`` replaces the lists that ``df`` holds and leaves others alone, or
     with ``whole_table`` everything; ``append`` adds files. ``max_rows`` bounds the
     rows of one file. ``fixed_spread`` counts only with run-time planning off: so
     many tasks share a list then.
     """
-    spread = _spread(df, fixed_spread).sortWithinPartitions(PARTITION, *order_by)
+    folders = (*above, PARTITION)
+    spread = _spread(df, fixed_spread, folders).sortWithinPartitions(*folders, *order_by)
     how = "static" if whole_table else "dynamic"
     writer = spread.write.mode(mode).option("partitionOverwriteMode", how)
     for name, value in (options or {}).items():
         writer = writer.option(name, value)
     if max_rows is not None:
         writer = writer.option("maxRecordsPerFile", max_rows)
-    writer.partitionBy(PARTITION).parquet(root)
+    writer.partitionBy(*folders).parquet(root)
 
 
-def replace_lists(
-    df: DataFrame, root: str, processed: Iterable[str] | None = None, **options
-) -> None:
-    """Write ``df``; of ``processed`` lists (``None``: all) nothing older is left.
+def write_run(df: DataFrame, home: str, **options) -> list[Entry]:
+    """Write rows with their ``table`` and ``list`` into a run of its own; nobody reads it yet."""
+    run = new_run()
+    write_partitioned(df, run_folder(home, run), "errorifexists", above=("table",), **options)
+    return entries_of(df.sparkSession, home, run)
 
-    New rows are safely written before anything is dropped: the write replaces the
-    lists that have rows now, and a list whose old files are still there afterwards
-    has none any more.
+
+def write_tables(
+    df: DataFrame, home: str, replaced: Iterable[str], processed: Iterable[str] | None = None, **options
+) -> Version:
+    """Write rows of several tables of an archive and commit them together.
+
+    Of the tables ``replaced``, ``processed`` lists (``None``: all) and those with
+    rows now keep nothing older; rows of other tables are added.
     """
-    spark = df.sparkSession
-    old = _files(spark, root)
-    old = None if old is None else materialise(old, f"{scratch_dir(spark)}/old")
-    write_partitioned(df, root, **options)
-    now = None if old is None else _files(spark, root)
-    if now is None:
-        return
-    stale = now.join(old, [PARTITION, "file"], "left_semi").select(PARTITION).distinct()
-    names = {r[PARTITION] for r in stale.collect()}  # names of lists
-    drop_partitions(spark, root, sorted(names if processed is None else names & set(processed)))
-
-
-def _files(spark: SparkSession, root: str) -> DataFrame | None:
-    """list, file: what a table consists of; ``None`` before it is first written."""
-    try:
-        stored = spark.read.schema(f"{PARTITION} string").parquet(root)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return stored.select(PARTITION, F.col("_metadata.file_path").alias("file")).distinct()
-
-
-def _spread(df: DataFrame, fixed_spread: int = FIXED_SPREAD) -> DataFrame:
+    return replace(df.sparkSession, home, write_run(df, home, **options), processed, replaced)
+
+
+def replace_lists(
+    df: DataFrame, root: str, processed: Iterable[str] | None = None, append: bool = False, **options
+) -> Version:
+    """Write ``df`` as the table ``root``; of ``processed`` lists (``None``: all) nothing
+    older is left, or with ``append`` everything."""
+    home, table = split_root(root)
+    rows = df.withColumn("table", F.lit(table))
+    return write_tables(rows, home, [] if append else [table], processed, **options)
+
+
+def _spread(
+    df: DataFrame, fixed_spread: int = FIXED_SPREAD, folders: tuple[str, ...] = (PARTITION,)
+) -> DataFrame:
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
-        return df.hint("rebalance", PARTITION)
+        return df.hint("rebalance", *folders)
     # Without run-time re-planning a hot list is salted up front, by content,
     # so that a task run again sends each row where it went before.
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _salt_columns(df)]), F.lit(fixed_spread))
-    return df.repartition(F.col(PARTITION), salt)
+    return df.repartition(*folders, salt)
 
 
 def _salt_columns(df: DataFrame) -> list[str]:
@@ -121,10 +118,9 @@ def write_mail(
 
 
 def _write(df, root, mode, processed, order_by) -> None:
-    if mode == "overwrite":
-        replace_lists(df, root, processed, order_by=order_by)
-    else:
-        write_partitioned(df, root, mode, order_by)
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode}")
+    replace_lists(df, root, processed, append=mode == "append", order_by=order_by)
 
 
 def write_dead_letters(
@@ -141,16 +137,6 @@ def write_dead_letters(
     replace_lists(dead, root, processed)
 
 
-def drop_partitions(spark: SparkSession, root: str, names: Iterable[str]) -> None:
-    """Delete the partitions of these lists, on whatever file system holds them."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for name in names:
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{PARTITION}={escape(name)}")
-        files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        files.delete(path, True)
-
-
 def archive_options(level: int = ARCHIVE_LEVEL) -> dict[str, str]:
     """Parquet options of the pseudonymised copy."""
     return {
@@ -167,16 +153,18 @@ def write_archive(
     max_rows: int = ARCHIVE_ROWS,
     processed: Iterable[str] | None = None,
 ) -> None:
-    """Write the pseudonymised datasets, each under its own name.
+    """Write the pseudonymised datasets, each under its own name, in one commit.
 
     ``processed`` lists (``None``: all) are replaced whole: one that was withdrawn
-    is in neither the copy nor the identity maps afterwards.
+    leaves the copy and the identity maps at the same moment.
     """
-    names = None if processed is None else list(processed)
+    written = []
     for name, df in datasets.items():
-        replace_lists(
-            df, f"{root}/{name}", names, options=archive_options(level), max_rows=max_rows
-        )
+        rows = df.withColumn("table", F.lit(name))
+        written += write_run(rows, root, options=archive_options(level), max_rows=max_rows)
+    if datasets:
+        spark = next(iter(datasets.values())).sparkSession
+        replace(spark, root, written, processed, datasets)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:

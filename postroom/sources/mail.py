@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DEAD_SCHEMA, MAIL_SCHEMA, STORED_MAIL_SCHEMA
-from .raw import _tolerance
+from ..sinks.versions import read_table
+from .raw import tolerance
 
 
 def read_mail(
@@ -53,5 +53,4 @@ def list_names(dataset: DataFrame) -> DataFrame:
 
 
 def _partitioned(spark, root, schema, lists, tolerant) -> DataFrame:
-    data = _tolerance(spark.read.schema(schema), tolerant).parquet(root)
-    return data if lists is None else data.where(F.col("list").isin(*lists))
+    return read_table(spark, root, schema, lists, tolerance(tolerant))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import RAW_SCHEMA
+from ..sinks.versions import read_table
 
 # Only mails match, which leaves out control files such as article counters,
 # error logs and notes that share the directory.
@@ -50,18 +51,16 @@ def read_raw(
         .option("pathGlobFilter", MAIL_GLOB)
         .option("recursiveFileLookup", "true")
     )
-    return with_origin(_tolerance(reader, tolerant).load(roots))
+    return with_origin(reader.options(**tolerance(tolerant)).load(roots))
 
 
 def read_landed(
     spark: SparkSession, root: str, lists: Iterable[str] | None = None, tolerant: bool = False
 ) -> DataFrame:
     """Read the landed raw table; ``lists`` prunes its partitions."""
-    landed = _tolerance(spark.read.schema(RAW_SCHEMA), tolerant).parquet(root)
-    return landed if lists is None else landed.where(F.col("list").isin(*lists))
+    return read_table(spark, root, RAW_SCHEMA, lists, tolerance(tolerant))
 
 
-def _tolerance(reader, tolerant: bool):
-    if not tolerant:
-        return reader
-    return reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+def tolerance(tolerant: bool) -> dict[str, str]:
+    """Reader options that pass over files which vanish or can't be read."""
+    return {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"} if tolerant else {}

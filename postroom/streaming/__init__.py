@@ -3,27 +3,37 @@
 from .ingest import (
     above_marks,
     backfill,
+    compact,
     high_water_marks,
     ingest,
     ingest_status,
+    ingested_gaps,
     landed_stream,
     latest,
+    lost_copies,
     mail_stream,
     read_ingested,
+    read_latest,
     read_marks,
+    read_numbers,
     store_batch,
 )
 
 __all__ = [
     "above_marks",
     "backfill",
+    "compact",
     "high_water_marks",
     "ingest",
     "ingest_status",
+    "ingested_gaps",
     "landed_stream",
     "latest",
+    "lost_copies",
     "mail_stream",
     "read_ingested",
+    "read_latest",
     "read_marks",
+    "read_numbers",
     "store_batch",
 ]

@@ -1,21 +1,42 @@
 """Incremental ingest of landed mail files.
 
-Each micro-batch writes its mails under ``<target>/mails/batch=<n>`` and the
-highest number per list under ``<target>/marks/batch=<n>``. Both folders are
-overwritten whole, so a batch that is run again after a failure leaves the
-same result. Nothing already written is rewritten: which copy of a mail counts
-is decided on reading (:func:`latest`).
+Each micro-batch writes its mails and, beside them, what later questions need
+without the contents: the highest number per list (``marks``), the numbers that
+have come, as bitmaps (``numbers``), and the keys of the mails (``keys``). All of
+them become visible in one commit (:mod:`postroom.sinks.versions`), which also
+takes away what an earlier attempt at the same batch left: a batch that runs again
+after a failure leaves the same result.
+
+Which copy of a mail counts is decided from the keys alone. Only lists and batches
+that hold a copy which lost are joined with those keys when they are read; all
+others are plain scans, and :func:`compact` makes plain scans of the rest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.quality import block_gaps, merge_blocks, number_blocks, spread_gaps
 from ..schema import FILE_SCHEMA, MARK_SCHEMA, RAW_SCHEMA
+from ..sinks.scratch import materialise, scratch, scratch_dir
 from ..sinks.tables import write_partitioned
+from ..sinks.versions import (
+    Entry,
+    Version,
+    commit,
+    current_version,
+    list_name,
+    new_run,
+    read_table,
+    run_folder,
+    split_root,
+)
 from ..sources.raw import MAIL_GLOB, with_origin
 from ..sources.selection import article_range
 
@@ -26,7 +47,20 @@ POLL = "1 hour"
 #: Archives keep the times of old mails, so the default never is.
 MAX_AGE = "36500d"
 
-_MAILS = T.StructType([*RAW_SCHEMA.fields, T.StructField("batch", T.LongType())])
+# The table of mails: a mail's place in its batch tells equal copies apart.
+MAILS = "mails"
+_MAILS = T.StructType(
+    [
+        *RAW_SCHEMA.fields,
+        T.StructField("batch", T.LongType()),
+        T.StructField("row", T.LongType()),
+    ]
+)
+_AGE = ("modificationTime", "batch", "path")
+_KEYS = (
+    "name string, modificationTime timestamp, batch long, path string, row long, mails_run string, list string"
+)
+_NUMBERS = "block long, numbers binary, list string"
 
 
 def mail_stream(
@@ -49,7 +83,14 @@ def mail_stream(
 def landed_stream(
     spark: SparkSession, root: str, max_files: int | None = None, max_age: str = MAX_AGE
 ) -> DataFrame:
-    """New files of a landed raw table as they appear, however old."""
+    """New files of a landed raw table as they appear, however old.
+
+    Of a table that is landed in versions, the runs of all of them are followed.
+    """
+    home, table = split_root(root)
+    version = current_version(spark, home)
+    if version is not None and any(e.table == table for e in version.entries):
+        root = f"{home}/runs/run=*/table={table}"
     return _rate(spark.readStream.schema(RAW_SCHEMA), max_files, max_age).parquet(root)
 
 
@@ -71,18 +112,55 @@ def ingest(
     )
 
 
-def store_batch(batch: DataFrame, number: int, target: str) -> None:
-    """Write one batch of raw mails and its marks."""
-    mails = f"{target}/mails/batch={number}"
-    rows = batch.select(*RAW_SCHEMA.fieldNames())
-    write_partitioned(rows, mails, order_by=["article_no"], whole_table=True)
-    # Counted from what was just written, so the source is read only once.
-    written = batch.sparkSession.read.schema(RAW_SCHEMA).parquet(mails)
-    marks = written.groupBy("list").agg(
+def store_batch(batch: DataFrame, number: int, target: str) -> Version:
+    """Store one batch of raw mails with its marks, numbers and keys."""
+    spark, run = batch.sparkSession, new_run()
+    rows = batch.select(*RAW_SCHEMA.fieldNames()).withColumns(
+        # Tells copies in one batch apart, whatever else they share.
+        {"row": F.monotonically_increasing_id(), "batch": F.lit(number).cast("long")}
+    )
+    return _store(spark, rows, number, target, run, lambda e: e.batch == number)
+
+
+def _store(
+    spark: SparkSession,
+    rows: DataFrame,
+    number: int,
+    target: str,
+    run: str,
+    replaced: Callable[[Entry], bool],
+    beside: tuple[str, ...] = ("marks", "numbers", "keys"),
+) -> Version:
+    """Write mails and what is known of them; commit them in place of entries ``replaced``."""
+    folder = run_folder(target, run)
+    rows = rows.withColumn("table", F.lit(MAILS))
+    write_partitioned(rows, folder, "errorifexists", order_by=["article_no"], above=("table",))
+    # All else comes from what was just written, so the source is read only once.
+    written = spark.read.schema(_MAILS).parquet(folder).drop("content", "table")
+    written = written.withColumn("list", list_name())
+    counts = written.groupBy("list").agg(
+        F.count(F.lit(1)).alias("rows"),
         F.max("article_no").alias("last_article"),
         F.countDistinct("article_no").alias("new_mails"),
     )
-    marks.write.mode("overwrite").parquet(f"{target}/marks/batch={number}")
+    found = counts.collect()  # one row per list
+    entries = [Entry(MAILS, r["list"], run, r["rows"], number) for r in found]
+    if found:
+        marks = [(r["list"], r["last_article"], r["new_mails"], number) for r in found]
+        known = {
+            "marks": spark.createDataFrame(marks, MARK_SCHEMA),
+            "numbers": number_blocks(written),
+            "keys": written.select("list", _name().alias("name"), *_AGE, "row", F.lit(run).alias("mails_run")),
+        }
+        parts = [known[t].withColumn("table", F.lit(t)) for t in beside]
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part, allowMissingColumns=True)
+        other = new_run()
+        write_partitioned(rows, run_folder(target, other), "errorifexists", above=("table",))
+        entries += [Entry(t, r["list"], other, 0, number) for t in beside for r in found]
+
+    return commit(spark, target, lambda old: [*[e for e in old if not replaced(e)], *entries])
 
 
 def backfill(raw: DataFrame, articles: str, target: str, number: int) -> None:
@@ -96,19 +174,22 @@ def backfill(raw: DataFrame, articles: str, target: str, number: int) -> None:
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
     """Every stored copy of every mail, with the batch it came in."""
-    return spark.read.schema(_MAILS).parquet(f"{target}/mails")
+    return read_table(spark, f"{target}/{MAILS}", _MAILS).drop("row")
+
+
+def _name() -> Column:
+    """What a mail is known by in its list: its number, or else the path of its file."""
+    return F.coalesce(F.col("article_no").cast("string"), F.col("path"))
 
 
 def latest(ingested: DataFrame) -> DataFrame:
     """One copy per list and article: the newest file, then the newest batch.
 
-    Few mails come more than once. They are found by their keys alone, and only
-    their copies are compared; the contents of all others are never shuffled.
+    For any table of mails with their batch. Few mails come more than once; they
+    are found by their keys alone, and only their copies are compared.
     """
-    # A file whose name is not a number is known by its path.
-    name = F.coalesce(F.col("article_no").cast("string"), F.col("path"))
-    age = F.struct("modificationTime", "batch", "path")
-    keyed = ingested.withColumn("__name", name)
+    age = F.struct(*_AGE)
+    keyed = ingested.withColumn("__name", _name())
     newest = (
         keyed.groupBy("list", "__name")
         .agg(F.count(F.lit(1)).alias("__copies"), F.max(age).alias("__newest"))
@@ -121,9 +202,86 @@ def latest(ingested: DataFrame) -> DataFrame:
     return single.unionByName(chosen).drop("__name", "__newest")
 
 
+def lost_copies(spark: SparkSession, target: str, version: Version | None = None) -> DataFrame:
+    """list, mails_run, batch, row of copies that a newer one stands in for, from the keys alone."""
+    keys = read_table(spark, f"{target}/keys", _KEYS, version=version)
+    age = F.struct(*_AGE, "row")
+    newest = (
+        keys.groupBy("list", "name")
+        .agg(F.count(F.lit(1)).alias("copies"), F.max(age).alias("newest"))
+        .where(F.col("copies") > 1)
+        .select("list", "name", "newest")
+    )
+    losers = keys.join(newest, ["list", "name"]).where(age < F.col("newest"))
+    return losers.select("list", "mails_run", "batch", "row")
+
+
+def _touched(lost: DataFrame) -> set[tuple[str, str]]:
+    """Lists and runs with lost copies: at most as many as the version has entries."""
+    pairs = lost.select("list", "mails_run").distinct().collect()
+    return {(r["list"], r["mails_run"]) for r in pairs}
+
+
+def read_latest(spark: SparkSession, target: str) -> DataFrame:
+    """One copy per list and article of what was ingested, with its batch.
+
+    Each file is read once. Mails of lists and batches without a lost copy are
+    neither joined nor shuffled.
+    """
+    version = current_version(spark, target)
+    lost = materialise(lost_copies(spark, target, version), f"{scratch_dir(spark)}/lost")
+    touched = _touched(lost)
+    if not touched:
+        return read_ingested(spark, target)
+
+    def read(inside: bool) -> DataFrame:
+        only = lambda e: ((e.list, e.run) in touched) == inside
+        return read_table(spark, f"{target}/{MAILS}", _MAILS, only=only, version=version)
+
+    kept = read(True).join(lost.select("batch", "row"), ["batch", "row"], "left_anti")
+    return read(False).unionByName(kept).drop("row")
+
+
+def compact(spark: SparkSession, target: str) -> int:
+    """Write lists and batches with lost copies anew, without them; returns how many.
+
+    Afterwards :func:`read_latest` is a plain scan. Readers of the old version
+    are not disturbed.
+    """
+    version = current_version(spark, target)
+    if version is None:
+        return 0
+    with scratch(spark) as kept:
+        lost = kept.keep(lost_copies(spark, target, version), "lost")
+        touched = _touched(lost)
+        batches = {e.run: e.batch for e in version.entries if e.table == MAILS}
+        for number in sorted({batches[run] for _, run in touched}):
+            names = {name for name, run in touched if batches[run] == number}
+            # What has come when stays as it was; marks and numbers are not touched.
+            of_it = partial(_holds, (MAILS, "keys"), number, names)
+            rows = read_table(spark, f"{target}/{MAILS}", _MAILS, only=of_it, version=version)
+            rows = rows.join(lost.select("batch", "row"), ["batch", "row"], "left_anti")
+            _store(spark, rows, number, target, new_run(), of_it, ("keys",))
+        return len(touched)
+
+
+def _holds(tables: tuple[str, ...], batch: int, names: set[str], entry: Entry) -> bool:
+    return entry.table in tables and entry.batch == batch and entry.list in names
+
+
+def read_numbers(spark: SparkSession, target: str) -> DataFrame:
+    """Bitmaps of the numbers that have come, put together from all batches."""
+    return merge_blocks(read_table(spark, f"{target}/numbers", _NUMBERS))
+
+
+def ingested_gaps(spark: SparkSession, target: str, catalogue: DataFrame | None = None) -> DataFrame:
+    """The numbers that are missing so far, from the bitmaps of the batches."""
+    return spread_gaps(block_gaps(read_numbers(spark, target), "list", catalogue))
+
+
 def read_marks(spark: SparkSession, target: str) -> DataFrame:
     """Marks as written, one row per list and batch."""
-    return spark.read.schema(MARK_SCHEMA).parquet(f"{target}/marks")
+    return read_table(spark, f"{target}/marks", MARK_SCHEMA)
 
 
 def high_water_marks(marks: DataFrame) -> DataFrame:

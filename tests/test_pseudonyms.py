@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import hmac
 
 import pytest
 
@@ -64,6 +65,33 @@ def test_normalised_and_keyed(spark):
     assert len(set(keyed)) == 2 and not set(keyed) & set(other) and len(keyed[0]) == 64
 
 
+@pytest.mark.parametrize("key", ["k", "kéy", b"\x00\xff", "long " * 40])
+def test_keyed_digests_are_hmacs(mail, key):
+    raw = key.encode() if isinstance(key, str) else key
+
+    def keyed(text):
+        return hmac.new(raw, text.encode(), "sha256").hexdigest()
+
+    full, empty = hash_columns(mail, key=key).collect()
+    assert hash_columns(mail, key=key).columns == mail.columns
+    assert full["from"] == keyed("A É <a@x>")
+    assert full["to"] == [keyed("b@x"), keyed(" c@x"), None] and full["cc"] == [keyed("")]
+    assert full["trailers"][0]["identification"] == keyed("N <n@x>")
+    assert (empty["from"], empty["to"], empty["trailers"]) == (None, None, None)
+    pairs = {tuple(r)[:2] for r in identity_map(mail, key=key).collect()}
+    assert pairs == {("A É <a@x>", full["from"]), (None, None)}
+
+
+def test_no_plan_shows_the_key(mail):
+    key = "sEcReT-0123456789"
+    padded = [bytes(b ^ pad for b in key.encode().ljust(64, b"\0")) for pad in (0x36, 0x5C)]
+    shown = [key, key.encode().hex(), *(p.hex() for p in padded), *(p.decode() for p in padded)]
+    for df in pseudonymised_datasets(mail, key=key).values():
+        df.collect()
+        plans = df._jdf.queryExecution().toString().lower()
+        assert not [s for s in shown if s.lower() in plans]
+
+
 def test_datasets(mail):
     found = pseudonymised_datasets(mail)
     assert list(found) == ["__main_dataset", "__id_map_from"]

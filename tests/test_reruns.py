@@ -105,7 +105,8 @@ def test_ingest_that_goes_on(spark, inbox, tmp_path):
 def test_a_tolerant_read_passes_over_broken_files(spark, inbox, tmp_path):
     out = tmp_path / "out"
     jobs.parse_archive(read_raw(spark, inbox.root), str(out))
-    (out / "parsed" / "list=a" / "broken.parquet").write_bytes(b"PAR1 no parquet at all PAR1")
+    (folder,) = (out / "runs").glob("run=*/table=parsed/list=a")
+    (folder / "broken.parquet").write_bytes(b"PAR1 no parquet at all PAR1")
     with pytest.raises(Exception):
         read_mail(spark, f"{out}/parsed").collect()
     assert counts(read_mail(spark, f"{out}/parsed", tolerant=True)) == {"a": 1, "b": 1}
