@@ -23,12 +23,13 @@ Further columns are ignored, so names can't clash.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -47,8 +48,8 @@ BLOCK_LINKS = 2_000_000
 
 _BLANK = "▁"  # how the second kind of vocabulary writes a blank
 # Blanks that are no boundary, and those that are.
-_UNSURE = regex.compile(r"[\s\x1c-\x1f] |^ | $")
-_BOUNDARY = regex.compile(r"(?<=[^\s\x1c-\x1f]) ")
+_UNSURE = re.compile(r"\s |^ | $")
+_BOUNDARY = re.compile(r"(?<=\S) ")
 
 _DOCS = ("n_a", "n_b", "n_groups", "n_links")
 _BLOCK = (
@@ -78,33 +79,74 @@ class Aligned:
     groups: list[str]
 
 
-def align(a: list[list[int]], b: list[list[int]], size_a: np.ndarray, size_b: np.ndarray) -> Aligned:
-    """Align texts whose tokens cover the same bytes; ``size_*`` gives bytes by id."""
-    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    flat_a, flat_b = (np.fromiter((i for x in y for i in x), np.int64) for y in (a, b))
-    end_a, end_b = np.cumsum(size_a[flat_a]), np.cumsum(size_b[flat_b])
+class Sides:
+    """The ids of one tokenizer: their bytes, and how they are written."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.bytes = Slices(np.uint8)
+        self.size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.bytes.add(np.frombuffer(b"".join(tokens), np.uint8), self.size)
+        self.name = [str(i) for i in range(len(tokens))]
+
+
+class Cut:
+    """Texts cut into tokens by one side, laid end to end."""
+
+    def __init__(self, side: Sides, lists: list[list[int]]) -> None:
+        self.side, self.n_texts = side, len(lists)
+        self.n = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.ids = np.fromiter(chain.from_iterable(lists), np.int64, int(self.n.sum()))
+
+    def only(self, kept: np.ndarray) -> Cut:
+        """The texts that are ``kept``; the others have no tokens."""
+        other = Cut(self.side, [])
+        other.n_texts, other.n = self.n_texts, np.where(kept, self.n, 0)
+        other.ids = self.ids[np.repeat(kept, self.n)]
+        return other
+
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(self.n_texts), self.n)
+
+    def covers(self, texts: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text have its bytes."""
+        want = np.fromiter(map(len, texts), np.int64, len(texts))
+        size = np.bincount(self.owner, self.side.size[self.ids], self.n_texts)
+        good = size == want
+        same, _ = self.side.bytes.take(self.ids[np.repeat(good, self.n)])
+        raw = np.frombuffer(b"".join(t for t, g in zip(texts, good) if g), np.uint8)
+        wrong = np.flatnonzero(same != raw)
+        if len(wrong):
+            kept = np.flatnonzero(good)
+            good[kept[np.searchsorted(np.cumsum(want[kept]), wrong, "right")]] = False
+        return good
+
+
+def align(a: Cut, b: Cut) -> Aligned:
+    """Align texts whose tokens cover the same bytes."""
+    size_a, size_b = a.side.size[a.ids], b.side.size[b.ids]
+    end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
     # All tokens have bytes, so a token overlaps a run of the other side's tokens.
-    low = np.searchsorted(end_b, end_a - size_a[flat_a], "right")
-    high = np.searchsorted(end_b - size_b[flat_b], end_a, "left")
+    low = np.searchsorted(end_b, end_a - size_a, "right")
+    high = np.searchsorted(end_b - size_b, end_a, "left")
     each = high - low
     other = np.repeat(low - (np.cumsum(each) - each), each) + np.arange(each.sum())
-    links = pair_key(np.repeat(flat_a, each), flat_b[other])
-    text_a = np.repeat(np.arange(len(a)), n_a)
+    links = pair_key(np.repeat(a.ids, each), b.ids[other])
+    owner = a.owner
     # Tokens that end a group: their end is an end on the other side as well.
     last_a = np.isin(end_a, end_b, assume_unique=True)
     last_b = np.isin(end_b, end_a, assume_unique=True)
-    n_groups = np.bincount(text_a[last_a], minlength=len(a))
-    n_links = np.bincount(text_a, each, len(a)).astype(np.int64)
-    left, right = _joined(flat_a, last_a), _joined(flat_b, last_b)
-    both = [f"{x}|{y}" for x, y in zip(left, right)]
+    n_groups = np.bincount(owner[last_a], minlength=a.n_texts)
+    n_links = np.bincount(owner, each, a.n_texts).astype(np.int64)
+    both = [f"{x}|{y}" for x, y in zip(_joined(a, last_a), _joined(b, last_b))]
     bounds = np.r_[0, np.cumsum(n_groups)].tolist()
     groups = [";".join(both[s:e]) for s, e in zip(bounds, bounds[1:])]
-    return Aligned(n_a, n_b, n_groups, links, n_links, groups)
+    return Aligned(a.n, b.n, n_groups, links, n_links, groups)
 
 
-def _joined(ids: np.ndarray, last: np.ndarray) -> list[str]:
+def _joined(cut: Cut, last: np.ndarray) -> list[str]:
     """The ids of each group, with commas."""
-    words = ids.astype("U").tolist()
+    words = list(map(cut.side.name.__getitem__, cut.ids.tolist()))
     ends = (np.flatnonzero(last) + 1).tolist()
     return [words[s] if e - s == 1 else ",".join(words[s:e]) for s, e in zip([0, *ends], ends)]
 
@@ -120,16 +162,16 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         value = {c: bytes([i]) for i, c in enumerate(_byte_letters())}
         vocabulary = self.a.get_vocab()
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        tokens = [b"-"] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            self.bytes_a[i] = b"".join(value.get(c, c.encode()) for c in token)
+            tokens[i] = b"".join(value.get(c, c.encode()) for c in token)
+        self.side_a = Sides(tokens)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode()
-            for i, p in enumerate(pieces)
-        ]
-        self.size_a, self.size_b = (
-            np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b)
+        self.side_b = Sides(
+            [
+                bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode()
+                for i, p in enumerate(pieces)
+            ]
         )
         # No piece goes on over a blank, so none can join two chunks.
         if any(_BLANK in p.lstrip(_BLANK) for p in pieces):
@@ -142,31 +184,24 @@ class Aligner:
         self.counts = np.zeros((0, 3), np.int64)  # n_a, n_b, n_groups; -1: bytes differ
         self.groups: list[str] = []
 
-    def both(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """Ids of both sides, and whether their bytes are those of a blank and the text."""
-        a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        back_a, back_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        good = []
-        for text, x, y in zip(texts, a, b):
-            raw = b" " + text.encode()
-            good.append(b"".join(map(back_a, x)) == raw == b"".join(map(back_b, y)))
-        return a, b, good
+    def both(self, texts: list[str]) -> tuple[np.ndarray, Aligned]:
+        """Whether both sides' bytes are those of a blank and the text; without
+        that a text has no tokens."""
+        spaced = [f" {t}" for t in texts]
+        found = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+        a = Cut(self.side_a, [e.ids for e in found])
+        b = Cut(self.side_b, self.b.encode(texts, num_threads=1))
+        raw = [t.encode() for t in spaced]
+        good = a.covers(raw) & b.covers(raw)
+        return good, align(a.only(good), b.only(good))
 
     def learn(self, chunks: list[str]) -> None:
-        a, b, good = self.both(chunks)
-        kept = [i for i, g in enumerate(good) if g]
-        found = align([a[i] for i in kept], [b[i] for i in kept], self.size_a, self.size_b)
-        counts = np.full((len(chunks), 3), -1, np.int64)
-        counts[kept] = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
-        lengths = np.zeros(len(chunks), np.int64)
-        lengths[kept] = found.n_links
-        groups = [""] * len(chunks)
-        for i, g in zip(kept, found.groups):
-            groups[i] = g
-        first = self.links.add(found.links, lengths)
+        good, found = self.both(chunks)
+        counts = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
+        counts[~good] = -1
+        first = self.links.add(found.links, found.n_links)
         self.counts = np.concatenate([self.counts, counts])
-        self.groups += groups
+        self.groups += found.groups
         self.chunk_of.update(zip(chunks, range(first, first + len(chunks))))
 
     def texts(self, texts: list[str | None]) -> Aligned:
@@ -198,9 +233,7 @@ class Aligner:
 
     def _whole(self, texts, odd, links, n_links, sums, groups):
         """Texts with an odd chunk again, each as a whole; changes ``sums`` and ``groups``."""
-        a, b, good = self.both([texts[i] for i in odd])
-        a, b = ([x if g else [] for x, g in zip(y, good)] for y in (a, b))
-        found = align(a, b, self.size_a, self.size_b)
+        _, found = self.both([texts[i] for i in odd])
         sums[odd] = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
         for i, g in zip(odd, found.groups):
             groups[i] = g
