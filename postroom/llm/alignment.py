@@ -10,9 +10,9 @@ counts of its own pairs, and its postings spread them over the documents.
 
 Texts are cut at blanks that follow a character which is no white space: there
 neither tokenizer joins what stands on both sides (checked on the vocabulary).
-Each distinct chunk goes through both libraries once per worker. A text with a
-chunk whose bytes do not come back is asked for as a whole; if they still differ
-it has no tokens.
+Each distinct chunk goes through both libraries once per worker, letters and the
+marks behind them apart where no piece joins these. A text with a chunk whose bytes
+do not come back is asked for as a whole; if they still differ it has no tokens.
 
 Nulls: a null or empty text has no tokens, zeros and an empty hash; a null doc_id
 is kept. Long texts are whole, and make a block of their own when they have very
@@ -23,6 +23,7 @@ Further columns are ignored, so names can't clash.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,25 +31,28 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import in_order, steps, written
 from .pair_bitmaps import SLOTS, PairSets, build, spread, totals
-from .ragged import Slices
+from .ragged import Column, Slices
 from .token_counts import _byte_letters
 
-#: Chunks that a worker remembers; emptied when full.
-CACHE_CHUNKS = 400_000
+#: Chunks and parts of chunks that a worker remembers; emptied when there are more.
+CACHE_PARTS = 250_000
 #: Distinct links of document and pair from which a block is closed.
 BLOCK_LINKS = 2_000_000
 
 _BLANK = "▁"  # how the second kind of vocabulary writes a blank
-# Blanks that are no boundary, and those that are.
-_UNSURE = re.compile(r"\s |^ | $")
+# Letters that are one code point, and marks behind them; what tells their keys apart.
+_LETTER, _MARK = "[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]", "[.,;:!?]"
+_PLAIN = f"^(?P<letters>{_LETTER}+)(?P<marks>{_MARK}*)$"
+_LETTERS, _MARKS, _CHUNK = " ", "\n ", "\0"
 _BOUNDARY = re.compile(r"(?<=\S) ")
 
 _DOCS = ("n_a", "n_b", "n_groups", "n_links")
@@ -151,14 +155,51 @@ def _joined(cut: Cut, last: np.ndarray) -> list[str]:
     return [words[s] if e - s == 1 else ",".join(words[s:e]) for s, e in zip([0, *ends], ends)]
 
 
+class Parts:
+    """Strings that were aligned before, with what came out; looked up by number."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.links = Slices(np.int64)
+        self.counts = Rows()
+        self.groups: list[str] = []
+        self.add([""], Aligned(*[np.zeros(1, np.int64)] * 3, np.zeros(0, np.int64), np.zeros(1, np.int64), [""]))
+
+    def add(self, strings: list[str], found: Aligned, good: np.ndarray | None = None) -> None:
+        counts = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
+        if good is not None:
+            counts[~good] = -1
+        first = self.links.add(found.links, found.n_links)
+        self.counts.extend(counts)
+        self.groups += found.groups
+        self.number.update(zip(strings, range(first, first + len(strings))))
+
+
+class Rows:
+    """A table of three counts that grows at its end."""
+
+    def __init__(self) -> None:
+        self.flat = Column(np.int64)
+
+    def extend(self, rows: np.ndarray) -> None:
+        self.flat.extend(rows.ravel())
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.flat.values.reshape(-1, 3)
+
+
 class Aligner:
-    """Both tokenizers and the chunks they were asked for; one per worker."""
+    """Both tokenizers and the parts they were asked for; one per worker."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
+        # Letters after a blank, and marks, are one piece to the split of the first.
+        self.pieces = Tokenizer(self.a.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         value = {c: bytes([i]) for i, c in enumerate(_byte_letters())}
         vocabulary = self.a.get_vocab()
@@ -166,79 +207,127 @@ class Aligner:
         for token, i in vocabulary.items():
             tokens[i] = b"".join(value.get(c, c.encode()) for c in token)
         self.side_a = Sides(tokens)
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.side_b = Sides(
             [
                 bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode()
-                for i, p in enumerate(pieces)
+                for i, p in enumerate(names)
             ]
         )
         # No piece goes on over a blank, so none can join two chunks.
-        if any(_BLANK in p.lstrip(_BLANK) for p in pieces):
+        if any(_BLANK in p.lstrip(_BLANK) for p in names):
             raise ValueError(f"{path_b}: a piece has a blank inside")
-        self.forget()
-
-    def forget(self) -> None:
-        self.chunk_of: dict[str, int] = {}
-        self.links = Slices(np.int64)
-        self.counts = np.zeros((0, 3), np.int64)  # n_a, n_b, n_groups; -1: bytes differ
-        self.groups: list[str] = []
+        # Whether letters and the marks behind them can be told apart as well.
+        with open(path_a, encoding="utf-8") as f:
+            split = json.load(f)["pre_tokenizer"] or {}
+        self.parted = (
+            split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not any(re.search(_LETTER + _MARK, p) for p in names)
+            and len(self.b.encode("x")) == 1
+        )
+        self.parts = Parts()
 
     def both(self, texts: list[str]) -> tuple[np.ndarray, Aligned]:
         """Whether both sides' bytes are those of a blank and the text; without
         that a text has no tokens."""
         spaced = [f" {t}" for t in texts]
         found = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        a = Cut(self.side_a, [e.ids for e in found])
-        b = Cut(self.side_b, self.b.encode(texts, num_threads=1))
-        raw = [t.encode() for t in spaced]
-        good = a.covers(raw) & b.covers(raw)
-        return good, align(a.only(good), b.only(good))
-
-    def learn(self, chunks: list[str]) -> None:
-        good, found = self.both(chunks)
-        counts = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
-        counts[~good] = -1
-        first = self.links.add(found.links, found.n_links)
-        self.counts = np.concatenate([self.counts, counts])
-        self.groups += found.groups
-        self.chunk_of.update(zip(chunks, range(first, first + len(chunks))))
+        return self._aligned([e.ids for e in found], self.b.encode(texts, num_threads=1), spaced)
+
+    def _aligned(self, a: list[list[int]], b: list[list[int]], texts: list[str]) -> tuple[np.ndarray, Aligned]:
+        cut_a, cut_b = Cut(self.side_a, a), Cut(self.side_b, b)
+        raw = [t.encode() for t in texts]
+        good = cut_a.covers(raw) & cut_b.covers(raw)
+        return good, align(cut_a.only(good), cut_b.only(good))
+
+    def _whole_pieces(self, strings: list[str]) -> list[list[int]]:
+        """Ids of the first side for strings that its split leaves whole."""
+        one = self.pieces.encode(strings, is_pretokenized=True, add_special_tokens=False)
+        ids, ends = one.ids, np.cumsum(np.bincount(np.array(one.word_ids, np.int64), minlength=len(strings)))
+        ends = ends.tolist()
+        return [ids[s:e] for s, e in zip([0, *ends], ends)]
+
+    def _numbers(self, strings: list[str], kind: str) -> np.ndarray:
+        """The part of each string: chunks as they are, letters after a blank, or marks
+        behind letters. A key tells the kinds apart."""
+        keys = [kind + s if s or kind == _CHUNK else "" for s in strings]  # no marks are no tokens
+        known = self.parts.number
+        fresh = [(k, s) for k, s in dict(zip(keys, strings)).items() if k not in known]
+        if fresh:
+            new, texts = map(list, zip(*fresh))
+            if kind == _CHUNK:
+                good, found = self.both(texts)
+            elif kind == _LETTERS:
+                spaced = [f" {t}" for t in texts]
+                good, found = self._aligned(self._whole_pieces(spaced), self.b.encode(texts, num_threads=1), spaced)
+            else:
+                behind = [ids[1:] for ids in self.b.encode([f"x{t}" for t in texts], num_threads=1)]
+                good, found = self._aligned(self._whole_pieces(texts), behind, texts)
+            self.parts.add(new, found, good)
+        return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+
+    def _chunks(self, texts: list[str | None]) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """Distinct chunks, the chunk at each place, and the bounds of the texts."""
+        lists = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), " ")
+        bounds = lists.offsets.to_numpy()
+        coded = lists.values.dictionary_encode()
+        # A chunk that is empty or ends in white space stands before a blank that is no boundary.
+        sure = [bool(c) and not c[-1].isspace() for c in coded.dictionary.to_pylist()]
+        unsure = ~np.array(sure, bool)[coded.indices.to_numpy()]
+        odd = np.flatnonzero(np.diff(np.r_[0, np.cumsum(unsure)][bounds]))
+        if len(odd):
+            split = [_BOUNDARY.split(texts[i]) if texts[i] else [] for i in odd]
+            sizes = np.diff(bounds)
+            keep = np.ones(len(sizes), bool)
+            keep[odd] = False
+            place = np.repeat(np.arange(len(sizes)), sizes)
+            flat = lists.values.filter(pa.array(keep[place]))
+            more = pa.array([c for s in split for c in s], pa.large_string())
+            place = np.r_[place[keep[place]], np.repeat(odd, [len(s) for s in split])]
+            order = np.argsort(place, kind="stable")
+            coded = pa.concat_arrays([flat, more]).take(pa.array(order)).dictionary_encode()
+            bounds = np.searchsorted(place[order], np.arange(len(texts) + 1))
+        return coded.dictionary, coded.indices, bounds
 
     def texts(self, texts: list[str | None]) -> Aligned:
         """Texts without tokens have zeros and an empty string."""
-        flat: list[str] = []
-        bounds = np.zeros(len(texts) + 1, np.int64)
-        for i, t in enumerate(texts):
-            if t:
-                flat += _BOUNDARY.split(t) if _UNSURE.search(t) else t.split(" ")
-            bounds[i + 1] = len(flat)
-        fresh = set(flat).difference(self.chunk_of)
-        if len(self.chunk_of) + len(fresh) > CACHE_CHUNKS:
-            self.forget()
-            fresh = set(flat)
-        if fresh:
-            self.learn(list(fresh))
-        which = np.fromiter(map(self.chunk_of.__getitem__, flat), np.int64, len(flat))
-        counts = self.counts[which]
-        bad = np.r_[0, np.cumsum(counts[:, 0] < 0)][bounds]
-        odd = np.flatnonzero(np.diff(bad))
-        sums = np.diff(np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(counts, axis=0)])[bounds], axis=0)
-        links, lengths = self.links.take(which)
-        n_links = np.diff(np.r_[0, np.cumsum(lengths)][bounds])
-        names, starts = list(map(self.groups.__getitem__, which.tolist())), bounds.tolist()
-        groups = [";".join(names[s:e]) for s, e in zip(starts, starts[1:])]
-        if len(odd):
-            links, n_links = self._whole(texts, odd, links, n_links, sums, groups)
+        if len(self.parts.number) > CACHE_PARTS:
+            self.parts = Parts()
+        distinct, places, bounds = self._chunks(texts)
+        two = np.zeros((len(distinct), 2), np.int64)
+        found = pc.extract_regex(distinct, _PLAIN)
+        plain = found.is_valid().to_numpy(zero_copy_only=False) & self.parted
+        parted = found.filter(pa.array(plain))
+        two[plain, 0] = self._numbers(parted.field("letters").to_pylist(), _LETTERS)
+        two[plain, 1] = self._numbers(parted.field("marks").to_pylist(), _MARKS)
+        two[~plain, 0] = self._numbers(distinct.filter(pa.array(~plain)).to_pylist(), _CHUNK)
+
+        # Sums over each distinct chunk first, then over the texts.
+        at = places.to_numpy()
+        counts = self.parts.counts.values[two]
+        wrong = (counts[:, :, 0] < 0).any(axis=1)
+        bad = np.flatnonzero(np.diff(np.r_[0, np.cumsum(wrong[at])][bounds]))
+        counts = counts.sum(axis=1)
+        sums = np.stack([np.diff(np.r_[0, np.cumsum(c[at])][bounds]) for c in counts.T], axis=1)
+        links, lengths = self.parts.links.take(two[at].ravel())
+        n_links = np.diff(np.r_[0, np.cumsum(lengths)][2 * bounds])
+        name = self.parts.groups
+        names = [f"{name[i]};{name[j]}" if j else name[i] for i, j in two.tolist()]
+        flat, starts = list(map(names.__getitem__, at.tolist())), bounds.tolist()
+        groups = [";".join(flat[s:e]) for s, e in zip(starts, starts[1:])]
+        if len(bad):
+            links, n_links = self._whole(texts, bad, links, n_links, sums, groups)
         return Aligned(sums[:, 0], sums[:, 1], sums[:, 2], links, n_links, groups)
 
-    def _whole(self, texts, odd, links, n_links, sums, groups):
-        """Texts with an odd chunk again, each as a whole; changes ``sums`` and ``groups``."""
-        _, found = self.both([texts[i] for i in odd])
-        sums[odd] = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
-        for i, g in zip(odd, found.groups):
+    def _whole(self, texts, bad, links, n_links, sums, groups):
+        """Texts with a chunk whose bytes differ, each as a whole; changes ``sums`` and ``groups``."""
+        _, found = self.both([texts[i] or "" for i in bad])
+        sums[bad] = np.stack([found.n_a, found.n_b, found.n_groups], axis=1)
+        for i, g in zip(bad, found.groups):
             groups[i] = g
         pieces = np.split(links, np.cumsum(n_links)[:-1])
-        for i, piece in zip(odd, np.split(found.links, np.cumsum(found.n_links)[:-1])):
+        for i, piece in zip(bad, np.split(found.links, np.cumsum(found.n_links)[:-1])):
             pieces[i] = piece
         return np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
 

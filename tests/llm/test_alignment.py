@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 from collections import Counter
@@ -60,11 +61,21 @@ def plain(rows):
             x = y = []
         x, y = spans(x), spans(y)
         cuts = sorted({e for _, _, e in x} & {e for _, _, e in y})
-        links = [(i, j) for i, s, e in x for j, u, v in y if s < v and u < e]
-        groups = [
-            "|".join(",".join(str(i) for i, _, e in z if start < e <= end) for z in (x, y))
-            for start, end in zip([0, *cuts], cuts)
-        ]
+        links, low = [], 0
+        for i, start, end in x:
+            while low < len(y) and y[low][2] <= start:
+                low += 1
+            at = low
+            while at < len(y) and y[at][1] < end:
+                links.append((i, y[at][0]))
+                at += 1
+        sides = []
+        for z in (x, y):
+            parts = [[] for _ in cuts]
+            for i, _, end in z:
+                parts[bisect.bisect_left(cuts, end)].append(str(i))
+            sides.append([",".join(p) for p in parts])
+        groups = [f"{p}|{q}" for p, q in zip(*sides)]
         digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
         count.update(links)
         found.append((doc, len(x), len(y), len(cuts), links, digest))
@@ -99,7 +110,7 @@ def test_odd_texts_in_blocks_of_any_size(spark, links, monkeypatch):
 
 
 def test_chunks_give_what_whole_texts_give(monkeypatch):
-    monkeypatch.setattr(alignment, "CACHE_CHUNKS", 60)
+    monkeypatch.setattr(alignment, "CACHE_PARTS", 60)
     one = alignment.Aligner(A, B)
     texts = odd_texts(2000, 8)
     for k in range(0, 2000, 25):
