@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -34,3 +34,27 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "root")
         if not changed:
             return labels
+
+
+def star_components(stars: DataFrame) -> DataFrame:
+    """node, root for ``stars`` (node, leader): many nodes that share few leaders.
+
+    A node stands with its least leader, and that one is linked to its other
+    leaders; a large group then has one row per node and few distinct pairs of
+    leaders. Rounds run over the leaders only, and the nodes are read off once.
+    """
+    least = F.min("leader").over(Window.partitionBy("node"))
+    near = written(stars.select("node", "leader", least.alias("near")).distinct(), "stars")
+    nodes = near.where("leader = near").select("node", "near")
+    leaders = near.select(F.col("leader").alias("node")).distinct()
+    pairs = near.where("leader <> near").selectExpr("leader AS a", "near AS b").distinct()
+    # A leader that is itself a node of others ties both sides together.
+    own = nodes.join(leaders, "node", "left_semi").selectExpr("node AS a", "near AS b")
+    roots = components(pairs.unionByName(own))
+    roots = roots.withColumnsRenamed({"node": "near", "root": "found"})
+    alone = leaders.join(nodes, "node", "left_anti").withColumn("near", F.col("node"))
+    return (
+        nodes.unionByName(alone)
+        .join(roots, "near", "left")
+        .select("node", F.coalesce("found", "near").alias("root"))
+    )

@@ -48,7 +48,7 @@ from .common import (
     words_of,
     written,
 )
-from .components import components
+from .components import star_components
 
 N_GRAM = 5
 #: Similarity of 4/5 or more, as whole numbers, so that no rounding decides.
@@ -252,7 +252,7 @@ def near_copies(
     )
     leaders = leaders.where("leader < last").drop("last")
     stars = buckets.join(leaders, ["band", "bucket"]).where("node <> leader")
-    groups = components(stars.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+    groups = star_components(stars.select("node", "leader"))
 
     members = nodes.drop("bands").join(groups.withColumnRenamed("root", "component"), "node")
     sizes = members.groupBy("component").agg(
@@ -266,7 +266,7 @@ def near_copies(
     found = written(verify(sets, threshold), "links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    trees = components(found.where("node <> peer").selectExpr("node AS a", "peer AS b"))
+    trees = star_components(found.where("node <> peer").selectExpr("node", "peer AS leader"))
     classes = nodes.select("node", "copies", F.col("row.doc_id").alias("copy_of"))
     classes = classes.join(links, "node", "left").join(trees, "node", "left")
     classes = classes.withColumn("root", F.coalesce("root", "node"))
