@@ -44,7 +44,7 @@ from .common import in_order, raw_texts, steps, text_of
 from .ragged import Slices
 
 #: Words that a worker remembers; emptied when there are more, so its memory has a bound.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 
 #: How files are cut: row groups and pages of these sizes, before compression.
 ROW_GROUP_BYTES = 32 << 20
