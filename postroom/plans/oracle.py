@@ -80,6 +80,52 @@ alive AS (
   FROM coded WHERE NOT ({_BROKEN}) AND NOT ({_STRAY})),
 people AS ({_PEOPLE})"""
 
+# The raw mails, written out line by line; a broken one has one more byte, FF.
+_DATE_LINE = """'Date: ' || CASE k % 17 WHEN 4 THEN 'n/a' WHEN 9 THEN 'yesterday at noon' ELSE CASE k % 6
+    WHEN 0 THEN strftime(made_at, '%a, %d %b %Y %H:%M:%S +0200')
+    WHEN 1 THEN strftime(made_at, '%Y-%m-%dT%H:%M:%SZ')
+    WHEN 2 THEN strftime(made_at, '%a %b %-d %H:%M:%S %Y')
+    WHEN 3 THEN strftime(made_at, '%a, %d %b %Y %H.%M.%S')
+    WHEN 4 THEN strftime(made_at, '%-m/%-d/%Y %-I:%M:%S %p')
+    ELSE strftime(made_at, '%a, %d %b %Y %H:%M:%S -0700 PDT') END END"""
+
+_HEADER = f"""concat_ws(chr(10),
+    'From: Author ' || (k % 97) || ' <a' || (k % 97) || '@mail.example>',
+    CASE k % 8 WHEN 5 THEN NULL
+      WHEN 3 THEN 'To: x' || k || '@one.example' || chr(10) || 'To: y' || k || '@two.example, z@two.example'
+      ELSE 'To: p' || (k % 7) || '@one.example, q' || (k % 5) || '@two.example' END,
+    CASE WHEN k % 8 = 6 THEN 'Cc: c1@x.example,c2@x.example,  c3@x.example' END,
+    CASE k % 8 WHEN 2 THEN 'Subject: part ' || k || chr(10) || chr(9) || 'continued  ' || chr(10) || '  end'
+      WHEN 4 THEN 'SUBJECT : Topic ' || k || ' ' ELSE 'Subject: Re: topic: ' || k END,
+    {_DATE_LINE},
+    CASE WHEN k % 8 = 3 THEN 'Date: Mon, 01 Jan 1990 00:00:00 +0000' END,
+    CASE WHEN k % 8 = 5 THEN NULL
+      WHEN k % 19 = 7 AND k >= 40 THEN 'Message-ID: <' || (k - 40) || '.' || src || '@mail.example>'
+      ELSE 'Message-ID: <' || k || '.' || src || '@mail.example>' END,
+    CASE WHEN k % 8 <> 5 AND k % 3 = 1 THEN 'In-Reply-To: <' || (k - 1) || '.' || src || '@mail.example>' END,
+    CASE WHEN k % 8 = 5 THEN NULL
+      WHEN k % 8 = 2 THEN 'References: <r1.' || k || '@x.example>' || chr(10) || ' <r2.' || k || '@x.example>'
+      WHEN k % 3 = 1 THEN 'References: <a.' || k || '@x.example>  <b.' || k || '@x.example>' END,
+    CASE WHEN k % 8 = 7 THEN 'X-Mailing-List: box' || (k % 5) || '@lists.example' END)"""
+
+_PATCH_LINES = """CASE k % 6
+    WHEN 1 THEN chr(10) || code1
+    WHEN 2 THEN chr(10) || 'prose' || chr(10) || 'diff --git a/g' || k || ' b/g' || k || chr(10) || '-y' || chr(10)
+      || '-- ' || chr(10) || '2.30' || chr(10)
+    WHEN 3 THEN chr(10) || code1 || chr(10) || 'between' || chr(10) || code2 || chr(10)
+    WHEN 4 THEN chr(10) || code1 || chr(10)
+    WHEN 5 THEN chr(10) || code1
+    ELSE '' END"""
+
+_RAW = f"""{_MAILS},
+dated AS (SELECT *, {_CODE1} AS code1, {_CODE2} AS code2,
+  TIMESTAMP '2019-07-01 00:00:00' + to_seconds((k * 790001) % 94608000) AS made_at FROM mails),
+sentences AS (SELECT *, {_HEADER} || chr(10) || chr(10) || text || {_TRAILERS} || {_PATCH_LINES} AS message FROM dated),
+raw AS (SELECT *, CASE WHEN {_STRAY} THEN ' stray continuation' || chr(10) ELSE '' END
+    || CASE WHEN k % 8 = 1 THEN replace(message, chr(10), chr(13) || chr(10)) ELSE message END AS whole
+  FROM sentences),
+stored AS (SELECT *, CASE WHEN {_BROKEN} THEN encode(whole) || '\\xFF'::BLOB ELSE encode(whole) END AS content FROM raw)"""
+
 _TIME = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
@@ -91,6 +137,29 @@ def _mails(select: str) -> str:
     return f"WITH {_MAILS} {select}"
 
 
+def _raw(select: str) -> str:
+    return f"WITH {_RAW} {select}"
+
+
+def _keyed(value: str) -> str:
+    """HMAC-SHA256 of a text under the key of the query."""
+    inner, outer = (
+        bytes(b ^ pad for b in b"key of the archive".ljust(64, b"\0")).hex() for pad in (0x36, 0x5C)
+    )
+    inside = f"from_hex(sha256(from_hex('{inner}') || encode({value})))"
+    return f"sha256(from_hex('{outer}') || {inside})"
+
+
+def _stage(stage: str, where: str, name: str = "list") -> str:
+    """Stored mails per list and outcome, of those that ``where`` names."""
+    return f"""SELECT {name} AS list,
+      CASE WHEN {_BROKEN} OR {_STRAY} THEN 'errors' ELSE 'parsed' END AS outcome,
+      count(*) AS mails, '{stage}' AS stage FROM mails WHERE {where} GROUP BY ALL"""
+
+
+_UNNAMED = "CASE WHEN list = 'list-system' THEN '' ELSE list END"
+
+
 def _receivers(name: str = "items") -> str:
     return f"""CASE WHEN k % 8 = 5 THEN ['']
       WHEN k % 8 = 3 THEN ['x' || k || '@one.example', 'y' || k || '@two.example, z@two.example']
@@ -204,8 +273,30 @@ ORACLE: dict[str, str] = {
       CASE WHEN {_BROKEN} THEN 'content is not valid UTF-8'
         ELSE 'header starts with a continuation line' END AS error
       FROM mails WHERE {_BROKEN} OR {_STRAY}"""),
-    "dead_letter_texts": _mails(f"""SELECT list, article_no, 1 AS marked FROM mails
-      WHERE {_BROKEN} OR {_STRAY}"""),
+    "dead_letter_texts": _raw(f"""SELECT list, article_no, md5(whole
+        || CASE WHEN {_BROKEN} THEN chr(65533) ELSE '' END || chr(10) || repeat('=', 30) || ' Exception:' || chr(10)
+        || CASE WHEN {_BROKEN} THEN 'content is not valid UTF-8'
+          ELSE 'header starts with a continuation line' END) AS text_md5
+      FROM raw WHERE {_BROKEN} OR {_STRAY}"""),
+    "raw_files": _raw("""SELECT list, article_no, octet_length(content) AS length, md5(content) AS content_md5
+      FROM stored"""),
+    "raw_scan": _raw("""SELECT list, count(*) AS mails, max(article_no) AS highest,
+      CAST(sum(octet_length(content)) AS BIGINT) AS bytes FROM stored
+      WHERE list IN ('list-user', 'src3') GROUP BY list"""),
+    "parse_counts": _mails(f"""SELECT CASE WHEN {_BROKEN} OR {_STRAY} THEN 'errors' ELSE 'parsed' END AS outcome,
+      list, count(*) AS mails FROM mails GROUP BY ALL"""),
+    "stored_unnamed_list": _mails(
+        _stage("with unnamed", "true", _UNNAMED)
+        + " UNION ALL "
+        + _stage("without", "list <> 'list-system'")
+    ),
+    "stored_versions": _mails(
+        _stage("before", "true")
+        + " UNION ALL "
+        + _stage("after", "list <> 'list-user' OR article_no % 2 = 0")
+    ),
+    "tolerant_read": _alive("""SELECT list, count(*) AS mails, CAST(NULL AS BIGINT) AS broken_files FROM alive
+      WHERE list <> 'list-system' GROUP BY list UNION ALL SELECT 'list-system', NULL, 1"""),
     "stored_mail": _alive(f"""SELECT list, article_no, sender, strftime(sent, {_TIME}) AS sent,
       (SELECT count(*) FROM people p WHERE p.list = alive.list AND p.article_no = alive.article_no) AS trailers,
       CAST(CASE k % 6 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS BIGINT) AS patches FROM alive"""),
@@ -242,6 +333,8 @@ ORACLE: dict[str, str] = {
       count(*) FILTER (NOT ({_BROKEN}) AND NOT ({_STRAY}) AND list <> 'list-user') AS parsed,
       count(*) FILTER ({_BROKEN} OR {_STRAY} OR list = 'list-user') AS dead,
       CAST(0 AS BIGINT) AS missing FROM mails GROUP BY list"""),
+    "gaps_by_batch": _mails(f"""SELECT list, unnest(range(first_missing, last_missing + 1)) AS article_no,
+      'article unavailable' AS error FROM ({_GAPS.format(source="mails")})"""),
     "gaps_to_catalogue": _mails(f"""SELECT list, unnest(range(first_missing, last_missing + 1)) AS article_no,
       'article unavailable' AS error FROM ({_GAPS.format(source="""(SELECT list, article_no FROM mails
         UNION ALL SELECT list, unnest([-3, max(article_no) + 4]) FROM mails GROUP BY list
@@ -261,6 +354,8 @@ ORACLE: dict[str, str] = {
     "mails_after": _alive(f"""SELECT list, count(*) AS mails, strftime(min(sent), {_TIME}) AS first_date
       FROM alive WHERE sent > TIMESTAMP '2020-01-01' GROUP BY list"""),
     "hash_columns": "SELECT c_custkey, sha1(c_name) AS c_name FROM customer",
+    "hash_keyed": f"""SELECT p_partkey, {_keyed("p_name")} AS name_digest,
+      array_to_string(list_transform(string_split(p_name, ' '), lambda x: {_keyed("x")}), ',') AS digests FROM part""",
     "hash_missing_column": "SELECT c_custkey, sha1(c_name) AS c_name FROM customer",
     "hash_lists": _unfold(
         "SELECT p_partkey, list_transform(string_split(p_name, ' '), lambda x: sha1(x)) AS items FROM part",
@@ -281,8 +376,7 @@ ORACLE: dict[str, str] = {
       coalesce((SELECT string_agg(attribution, ',' ORDER BY pos) FROM people p
         WHERE p.list = alive.list AND p.article_no = alive.article_no), '') AS roles
       FROM alive"""),
-    "stored_archive": _alive("""SELECT CASE WHEN src = 'd' THEN 'documents' ELSE 'conversations' END AS list,
-      dataset, count(*) AS mails, min(sha1(sender)) AS lowest
+    "stored_archive": _alive("""SELECT list, dataset, count(*) AS mails, min(sha1(sender)) AS lowest
       FROM alive, (VALUES ('main'), ('map')) AS d(dataset) GROUP BY ALL"""),
     "list_sizes": _alive("SELECT list, count(sender) AS mails FROM alive GROUP BY list"),
     "list_extremes": f"""WITH s AS ({_SIZES})
@@ -324,21 +418,47 @@ ORACLE: dict[str, str] = {
         )
     ),
     "profile_mail": _alive(
-        f""", profiled AS (SELECT sender AS "from", sent AS "date", {_SUBJECT} AS "subject",
-          message_id AS "message-id", [] AS "to", [] AS trailers, [] AS code FROM alive) """
+        f""", profiled AS (SELECT sender AS "from", [] AS "to", [] AS cc, {_SUBJECT} AS "subject",
+          sent AS "date", message_id AS "message-id",
+          CASE WHEN k % 8 <> 5 AND k % 3 = 1 THEN '<' || (k - 1) || '.' || src || '@mail.example>'
+            ELSE '' END AS "in-reply-to", [] AS "references",
+          CASE WHEN k % 8 = 7 THEN 'box' || (k % 5) || '@lists.example' ELSE '' END AS "x-mailing-list",
+          [] AS trailers, [] AS code, body AS raw_body, list FROM alive) """
         + " UNION ALL ".join(
             _profile_row("profiled", c, kind)
             for c, kind in (
                 ("from", "text"),
-                ("date", "time"),
+                ("to", "list"),
+                ("cc", "list"),
                 ("subject", "text"),
+                ("date", "time"),
                 ("message-id", "text"),
-                ("to", "list"),
+                ("in-reply-to", "text"),
+                ("references", "list"),
+                ("x-mailing-list", "text"),
                 ("trailers", "list"),
                 ("code", "list"),
+                ("raw_body", "text"),
+                ("list", "text"),
             )
         )
     ),
+    "dates_loose": _alive(f"""SELECT list, article_no, strftime(CASE k % 17
+      WHEN 4 THEN TIMESTAMP '2012-06-15 16:52:00' + to_seconds(article_no % 60) ELSE sent END, {_TIME}) AS sent
+      FROM alive"""),
+    "reports": f"""WITH s AS ({_SIZES}), r AS (
+      SELECT 'Min' AS stat, source AS list, CAST(mails AS DOUBLE) AS mails
+        FROM (SELECT * FROM s ORDER BY mails, source LIMIT 1)
+      UNION ALL SELECT 'Max', source, CAST(mails AS DOUBLE)
+        FROM (SELECT * FROM s ORDER BY mails DESC, source LIMIT 1)
+      UNION ALL SELECT 'Q1', NULL, quantile_cont(mails, 0.25) FROM s
+      UNION ALL SELECT 'Q2', NULL, quantile_cont(mails, 0.5) FROM s
+      UNION ALL SELECT 'Q3', NULL, quantile_cont(mails, 0.75) FROM s)
+      SELECT 'list_sizes' AS report, stat AS name,
+        concat_ws(' ', list, CAST(CAST(mails AS DECIMAL(20, 2)) AS VARCHAR)) AS value FROM r
+      UNION ALL SELECT 'date_stats', 'min_date', strftime(min(ts), {_TIME}) FROM events
+      UNION ALL SELECT 'date_stats', 'quartile_date', strftime({_nearest("events", "ts", 0.25)}, {_TIME})
+      UNION ALL SELECT 'unique_authors', c_name, CAST(sum(mails) AS VARCHAR) FROM ({_AUTHORS}) GROUP BY c_name""",
     "value_quantiles": f"""SELECT {_nearest("lineitem", "l_extendedprice", 0.01)} AS p1,
       {_nearest("lineitem", "l_extendedprice", 0.5)} AS p50,
       {_nearest("lineitem", "l_extendedprice", 0.99)} AS p99, 'nearest' AS rule
@@ -381,8 +501,14 @@ ORACLE: dict[str, str] = {
     "ingest_twice": _mails("""SELECT list, count(*) AS mails,
       count(*) FILTER (src = 'd') AS batches, max(article_no) AS last_article
       FROM mails GROUP BY list"""),
-    "ingest_twice_contents": _mails("""SELECT list, article_no, md5(article_no::VARCHAR) AS content_md5
-      FROM mails WHERE src = 'd'"""),
+    "ingest_twice_contents": _raw("""SELECT list, article_no,
+      CASE WHEN src = 'd' THEN md5(article_no::VARCHAR) ELSE md5(content) END AS content_md5 FROM stored"""),
+    "ingest_compacted": _mails("""SELECT list, count(*) AS mails, count(*) FILTER (src = 'd') AS batches
+      FROM mails GROUP BY list"""),
+    "ingest_late_files": _mails("""SELECT list, CAST(CASE WHEN src = 'd' THEN 0 ELSE 1 END AS BIGINT) AS batch,
+      count(*) AS mails FROM mails GROUP BY ALL"""),
+    "stream_files": _mails("""SELECT list, count(*) AS mails, count(DISTINCT article_no) AS articles,
+      1 AS restarted FROM mails GROUP BY list"""),
     "batch_rewritten": _mails("""SELECT list, count(*) AS mails, max(article_no) AS last_article
       FROM mails WHERE src = 'd' GROUP BY list"""),
     "ingest_status": _mails("""SELECT list, max(article_no) + 10 AS high, max(article_no) AS last_article,

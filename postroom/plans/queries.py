@@ -6,6 +6,8 @@ columns, so results compare without regard to nested types.
 
 from __future__ import annotations
 
+import time
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,11 +25,17 @@ from ..operators import (
     quantiles,
     sizes,
 )
-from ..sinks import materialise, scratch_dir
-from ..sinks.tables import land_raw, write_archive, write_dead_letters, write_mail
-from ..sources import selection
-from ..sources.mail import list_names, read_dead_letters, read_identity_map, read_mail
-from ..sources.raw import read_landed
+from ..sinks import materialise, scratch_dir, versions
+from ..sinks.tables import land_raw, write_archive, write_dead_letters, write_mail, write_report
+from ..sources import files, selection
+from ..sources.mail import (
+    list_names,
+    read_dead_letters,
+    read_identity_map,
+    read_mail,
+    read_tolerant,
+)
+from ..sources.raw import read_landed, read_raw
 from . import jobs
 from .corpus import mail_archive, mail_texts, table
 
@@ -135,8 +143,7 @@ def dead_letters(spark, sf):
 
 def dead_letter_texts(spark, sf):
     dead = parse.dead_letter_text(parse.dead_letters(mail_archive(spark, sf)))
-    marked = F.contains(F.col("text"), F.lit("\n" + "=" * 30 + " Exception:\n"))
-    return dead.select("list", "article_no", marked.cast("int").alias("marked"))
+    return dead.select("list", "article_no", F.md5("text").alias("text_md5"))
 
 
 # --- sinks and sources ---------------------------------------------------
@@ -187,6 +194,83 @@ def stored_reparse_emptied(spark, sf):
     return jobs.check_archive(raw, root).select("list", "raw", "parsed", "dead", "missing")
 
 
+def parse_counts(spark, sf):
+    """What a parse of the whole archive says it has stored, table by table."""
+    version = jobs.parse_archive(mail_archive(spark, sf), scratch_dir(spark))
+    rows = [(e.table, e.list, e.rows) for e in version.entries]
+    return spark.createDataFrame(rows, "outcome string, list string, mails long")
+
+
+def stored_unnamed_list(spark, sf):
+    """One list loses its name; then its mails are gone, and all is parsed again."""
+    root = scratch_dir(spark)
+    name = F.when(F.col("list") == "list-system", "").otherwise(F.col("list"))
+    raw = mail_archive(spark, sf).withColumn("list", name)
+    jobs.parse_archive(raw, root)
+    first = _stage_counts(spark, root, "with unnamed")
+    jobs.parse_archive(raw.where("list <> ''"), root)
+    return first.unionByName(_stage_counts(spark, root, "without"))
+
+
+def stored_versions(spark, sf):
+    """A reader from before a rewrite of one list, and one from after it."""
+    root = scratch_dir(spark)
+    raw = mail_archive(spark, sf)
+    jobs.parse_archive(raw, root)
+    before = _stage_counts(spark, root, "before")
+    half = raw.where((F.col("list") == "list-user") & (F.col("article_no") % 2 == 0))
+    jobs.parse_archive(half, root, lists=["list-user"])
+    return before.unionByName(_stage_counts(spark, root, "after"))
+
+
+def _stage_counts(spark, root: str, stage: str) -> DataFrame:
+    sides = [read_mail(spark, f"{root}/parsed"), read_dead_letters(spark, f"{root}/errors")]
+    both = sides[0].select("list", F.lit("parsed").alias("outcome"))
+    both = both.unionByName(sides[1].select("list", F.lit("errors").alias("outcome")))
+    counts = both.groupBy("list", "outcome").agg(F.count(F.lit(1)).alias("mails"))
+    return counts.withColumn("stage", F.lit(stage))
+
+
+def _write_files(raw: DataFrame, root: str) -> int:
+    """The mails as real files, with control files beside them; returns how many mails."""
+    counts = files.write_raw_files(raw, root).collect()
+    for row in counts:
+        for name in ("__last_article_number", "__errors", "errors.md", "errors.txt"):
+            files.write_file(f"{root}/{row['list']}/{name}", b"last_email: 1")
+    return sum(row["mails"] for row in counts)
+
+
+def raw_files(spark, sf):
+    """All mails written as files, listed and read back by tasks."""
+    root = f"{scratch_dir(spark)}/in"
+    _write_files(mail_archive(spark, sf), root)
+    found = files.read_catalogued(files.catalogue(spark, root), root, pack_bytes=1 << 20)
+    return found.select("list", "article_no", "length", F.md5("content").alias("content_md5"))
+
+
+def raw_scan(spark, sf):
+    """The same files by Spark's own reader, some lists by name."""
+    root = f"{scratch_dir(spark)}/in"
+    _write_files(mail_archive(spark, sf), root)
+    found = read_raw(spark, root, lists=["list-user", "src3"])
+    return found.groupBy("list").agg(
+        F.count(F.lit(1)).alias("mails"), F.max("article_no").alias("highest"), F.sum("length").alias("bytes")
+    )
+
+
+def tolerant_read(spark, sf):
+    """A table in which one list has a file that is no Parquet: the rest, and a report."""
+    root = _stored(spark, sf)
+    folder = versions.table_folders(spark, root)["list-system"][0]
+    files.write_file(f"{folder}/part-broken.parquet", b"PAR1 no table at all PAR1")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        mail, report = read_tolerant(spark, root)
+    counts = mail.groupBy("list").agg(F.count(F.lit(1)).alias("mails"))
+    skipped = report.select("list", F.col("files").alias("broken_files"))
+    return counts.unionByName(skipped, allowMissingColumns=True)
+
+
 def landed_mails(spark, sf):
     root = scratch_dir(spark)
     land_raw(mail_archive(spark, sf), root)
@@ -308,6 +392,13 @@ def hash_columns(spark, sf):
     return pseudonyms.hash_columns(customer, ["c_name"], []).select("c_custkey", "c_name")
 
 
+def hash_keyed(spark, sf):
+    """Digests under a secret key, for a scalar and for the items of a list."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", F.split("p_name", " ").alias("words"))
+    hashed = pseudonyms.hash_columns(parts, ["p_name", "words"], [], key="key of the archive")
+    return hashed.select("p_partkey", F.col("p_name").alias("name_digest"), join_list(F.col("words"), ",").alias("digests"))
+
+
 def hash_missing_column(spark, sf):
     """A column that the table doesn't have is passed over."""
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
@@ -371,10 +462,7 @@ def pseudonymised_mail(spark, sf):
 def stored_archive(spark, sf):
     """The pseudonymised copy and its identity map, written and read back."""
     root = scratch_dir(spark)
-    # Two lists, as the level sets up large tables for every column of every file.
-    origin = F.when(F.startswith("list", F.lit("src")), "documents").otherwise("conversations")
-    mail = _mail(spark, sf).withColumn("list", origin)
-    write_archive(pseudonyms.pseudonymised_datasets(mail), root)
+    write_archive(pseudonyms.pseudonymised_datasets(_mail(spark, sf)), root)
     main = read_mail(spark, f"{root}/{pseudonyms.MAIN_DATASET}")
     pairs = read_identity_map(spark, f"{root}/{pseudonyms.MAP_PREFIX}from")
     both = main.select("list", F.lit("main").alias("dataset"), "from").unionByName(
@@ -455,9 +543,8 @@ def profile_events(spark, sf):
 
 
 def profile_mail(spark, sf):
-    mail = _mail(spark, sf).select("from", "to", "date", "subject", "message-id", "trailers", "code")
-    # Several passes follow; stored first, the mails are parsed once.
-    stored = materialise(mail, scratch_dir(spark))
+    # Two passes follow; stored first, the mails are parsed once.
+    stored = materialise(_mail(spark, sf).drop("article_no"), scratch_dir(spark))
     return _profile(profiling.profile(stored))
 
 
@@ -483,6 +570,40 @@ def value_quantiles(spark, sf):
     return quantiles.quantile_rows(lines, "l_extendedprice", probs, ["nearest", "discrete"])
 
 
+def dates_loose(spark, sf):
+    """Dates of a shape that no pattern knows, by the second look in Python."""
+    raw = mail_archive(spark, sf)
+    sent = F.concat(F.lit("Date: 2012 Jun 15 16:52:"), F.lpad((F.col("article_no") % 60).cast("string"), 2, "0"))
+    text = F.replace(F.col("content").cast("string"), F.lit("Date: n/a"), sent)
+    content = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.encode(text, "UTF-8"))
+    raw = raw.withColumn("content", F.coalesce(content, F.col("content")))
+    mail = parse.parse_mail(raw, loose_dates=True)
+    return mail.select("list", "article_no", _text(F.col("date")).alias("sent"))
+
+
+def reports(spark, sf):
+    """The small results as files, read back."""
+    root = scratch_dir(spark)
+    write_report(sizes.size_report(_source_sizes(spark, sf), group="source"), f"{root}/list_sizes")
+    dates = profiling.date_stats(table(spark, sf, "events"), column="ts")
+    write_report(dates.select(*[_text(F.col(c)).alias(c) for c in dates.columns]), f"{root}/date_stats")
+    found = authors.author_lists(_author_pairs(spark, sf), author=("c_name",))
+    write_report(found.select("c_name", "mails"), f"{root}/unique_authors", "parquet")
+
+    def csv(name: str) -> DataFrame:
+        return spark.read.option("header", "true").csv(f"{root}/{name}")
+
+    named = spark.read.parquet(f"{root}/unique_authors").select(
+        F.lit("unique_authors").alias("report"), F.col("c_name").alias("name"), F.col("mails").cast("string").alias("value")
+    )
+    size = F.concat_ws(" ", "list", F.col("mails").cast("double").cast("decimal(20,2)").cast("string"))
+    rows = csv("list_sizes").select(F.lit("list_sizes").alias("report"), F.col("stat").alias("name"), size.alias("value"))
+    for column in ("min_date", "quartile_date"):
+        one = csv("date_stats").select(F.lit("date_stats"), F.lit(column), F.col(column))
+        rows = rows.union(one)
+    return named.union(rows)
+
+
 def rolling_activity(spark, sf):
     # Read twice, for its span and for its counts: from the stored table, as usual.
     stored = read_mail(spark, _stored(spark, sf))
@@ -542,7 +663,7 @@ def ingest_twice(spark, sf):
     )
     _land(newer, root)
     _run(spark, root)
-    newest = streaming.latest(streaming.read_ingested(spark, f"{root}/store"))
+    newest = streaming.read_latest(spark, f"{root}/store")
     return newest.groupBy("list").agg(
         F.count(F.lit(1)).alias("mails"),
         F.sum("batch").alias("batches"),
@@ -560,11 +681,77 @@ def ingest_twice_contents(spark, sf):
     )
     _land(newer.withColumn("content", F.encode(F.col("article_no").cast("string"), "UTF-8")), root)
     _run(spark, root)
-    newest = streaming.latest(streaming.read_ingested(spark, f"{root}/store"))
-    own = newest.where(F.startswith("list", F.lit("src")))
-    return own.select("list", "article_no", F.md5("content").alias("content_md5"))
+    newest = streaming.read_latest(spark, f"{root}/store")
+    return newest.select("list", "article_no", F.md5("content").alias("content_md5"))
+
+
+def ingest_compacted(spark, sf):
+    """As ``ingest_twice``, after the copies that lost were taken out of the files."""
+    root = scratch_dir(spark)
+    streaming.store_batch(mail_archive(spark, sf), 0, root)
+    newer = _documents(spark, sf).withColumn(
+        "modificationTime", F.col("modificationTime") + F.expr("interval 1 day")
+    )
+    streaming.store_batch(newer, 1, root)
+    streaming.compact(spark, root)
+    left = streaming.read_ingested(spark, root)
+    return left.groupBy("list").agg(F.count(F.lit(1)).alias("mails"), F.sum("batch").alias("batches"))
+
+
+def gaps_by_batch(spark, sf):
+    """Missing numbers from the bitmaps of three batches, one of them run twice."""
+    root = scratch_dir(spark)
+    raw = mail_archive(spark, sf)
+    for number in (0, 1, 1, 2):
+        streaming.store_batch(raw.where(F.pmod(F.col("article_no"), F.lit(3)) == number), number, root)
+    return streaming.ingested_gaps(spark, root)
 
 
+def stream_files(spark, sf):
+    """Real files by a running stream that is stopped after its first batch and goes
+    on from its checkpoint: each mail comes once."""
+    root = scratch_dir(spark)
+    total = _write_files(mail_archive(spark, sf), f"{root}/in")
+    log = streaming.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        stream = streaming.mail_stream(spark, f"{root}/in", max_files=max(1, -(-total // 3)))
+        target = (f"{root}/store", f"{root}/checkpoint")
+        query = streaming.ingest(stream, *target, once=False, every="0 seconds")
+        while query.isActive and not any(p.batchId >= 0 and p.numInputRows for p in query.recentProgress):
+            time.sleep(0.1)
+        query.stop()
+        streaming.ingest(stream, *target).awaitTermination()
+    finally:
+        spark.streams.removeListener(log)
+    log.store(spark, f"{root}/store")
+    runs = streaming.read_progress(spark, f"{root}/store").where("mails > 0").select(F.countDistinct("run")).first()[0]
+    mails = streaming.read_ingested(spark, f"{root}/store")
+    return mails.groupBy("list").agg(
+        F.count(F.lit(1)).alias("mails"),
+        F.countDistinct("article_no").alias("articles"),
+        F.lit(runs > 1).cast("int").alias("restarted"),
+    )
+
+
+def ingest_late_files(spark, sf):
+    """Files that are years older than those taken in before, and come later."""
+    root = scratch_dir(spark)
+
+    def run() -> None:
+        stream = streaming.mail_stream(spark, f"{root}/in")
+        streaming.ingest(stream, f"{root}/store", f"{root}/checkpoint").awaitTermination()
+
+    raw = mail_archive(spark, sf)
+    _write_files(_documents(spark, sf), f"{root}/in")
+    run()
+    old = raw.where(F.startswith("list", F.lit("list-")))
+    old = old.withColumn("modificationTime", F.timestamp_seconds(F.lit(1_000_000_000)))
+    _write_files(old, f"{root}/in")
+    run()
+    mails = streaming.read_ingested(spark, f"{root}/store")
+    return mails.groupBy("list", "batch").agg(F.count(F.lit(1)).alias("mails"))
+
 def batch_rewritten(spark, sf):
     """One batch stored twice, the second time with fewer lists: only those are left."""
     root = scratch_dir(spark)
@@ -620,6 +807,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         review_counts,
         raw_mails,
+        raw_files,
+        raw_scan,
         split_messages,
         headers,
         addresses,
@@ -636,6 +825,10 @@ QUERIES: dict[str, Query] = {
         stored_some_lists,
         stored_reparse,
         stored_reparse_emptied,
+        parse_counts,
+        stored_unnamed_list,
+        stored_versions,
+        tolerant_read,
         landed_mails,
         stored_dead_letters,
         retried_mails,
@@ -648,12 +841,14 @@ QUERIES: dict[str, Query] = {
         gap_ranges,
         gaps,
         gaps_to_catalogue,
+        gaps_by_batch,
         order_gaps,
         select_lists,
         select_all_lists,
         article_range,
         mails_after,
         hash_columns,
+        hash_keyed,
         hash_missing_column,
         hash_lists,
         hash_fields,
@@ -674,6 +869,8 @@ QUERIES: dict[str, Query] = {
         first_and_last,
         profile_events,
         profile_mail,
+        dates_loose,
+        reports,
         value_quantiles,
         rolling_activity,
         rolling_some_lists,
@@ -682,6 +879,9 @@ QUERIES: dict[str, Query] = {
         ingest_twice,
         batch_rewritten,
         ingest_twice_contents,
+        ingest_compacted,
+        ingest_late_files,
+        stream_files,
         ingest_status,
         new_articles,
         backfilled,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DEAD_SCHEMA, MAIL_SCHEMA, STORED_MAIL_SCHEMA
-from ..sinks.versions import read_table
+from ..sinks.versions import read_table, table_folders
+from .files import probe
 from .raw import tolerance
 
 
@@ -44,6 +47,30 @@ def read_identity_map(
     return _partitioned(spark, root, schema, lists, tolerant)
 
 
+def unreadable_files(spark: SparkSession, root: str) -> DataFrame:
+    """list, path, error of the files of a table that can't be opened, found by tasks."""
+    return probe(spark, table_folders(spark, root))
+
+
+def read_tolerant(spark: SparkSession, root: str, schema: T.StructType = MAIL_SCHEMA):
+    """The lists of a table that can be read, and a report on those that can't.
+
+    A list with a file that can't be opened is left out whole. Returns the mails
+    and (list, files, errors); names of skipped lists go through the driver.
+    """
+    report = (
+        unreadable_files(spark, root)
+        .groupBy("list")
+        .agg(F.count(F.lit(1)).alias("files"), F.array_sort(F.collect_set("error")).alias("errors"))
+    )
+    rows = report.collect()
+    skipped = [r["list"] for r in rows]
+    for name in skipped:
+        warnings.warn(f"list {name!r} can't be read, skipped", stacklevel=2)
+    readable = read_table(spark, root, schema, without=skipped)
+    return readable, spark.createDataFrame(rows, report.schema)
+
+
 def list_names(dataset: DataFrame) -> DataFrame:
     """The lists a dataset holds.
 

@@ -18,8 +18,10 @@ from .ingest import (
     read_numbers,
     store_batch,
 )
+from .progress import ProgressLog, read_progress
 
 __all__ = [
+    "ProgressLog",
     "above_marks",
     "backfill",
     "compact",
@@ -35,5 +37,6 @@ __all__ = [
     "read_latest",
     "read_marks",
     "read_numbers",
+    "read_progress",
     "store_batch",
 ]
