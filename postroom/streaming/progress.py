@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections import deque
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,13 @@ class ProgressLog(StreamingQueryListener):
         p = event.progress
         self.rows.append((str(p.id), str(p.runId), p.batchId, p.numInputRows, p.timestamp))
 
+    def wait_for(self, enough: Callable[[list[tuple]], bool], seconds: float = 30) -> bool:
+        """Wait until the rows are ``enough``: news of a batch may come after the batch."""
+        until = time.monotonic() + seconds
+        while not (done := enough(list(self.rows))) and time.monotonic() < until:
+            time.sleep(0.1)
+        return done
+
     def store(self, spark: SparkSession, target: str) -> int:
         """Add what was collected to ``<target>/progress``; returns how many rows."""
         rows = [self.rows.popleft() for _ in range(len(self.rows))]

@@ -219,6 +219,7 @@ def test_a_stream_that_is_killed_goes_on(spark, inbox, tmp_path):
             ingest_module.store_batch = stored
         assert streaming.read_ingested(spark, store).count() == 6
         streaming.ingest(stream, store, checkpoint).awaitTermination()
+        assert log.wait_for(lambda rows: {r[2] for r in rows if r[3]} >= {0, 1, 2})
     finally:
         spark.streams.removeListener(log)
     found = streaming.read_ingested(spark, store)
