@@ -9,6 +9,9 @@ from .parse import split_raw
 
 MESSAGE_ID = "message-id"
 
+# Fixed value: what a report says of a list that lacks mails, after their number.
+MISSING_NOTE = " emails missing!!"
+
 # Article numbers are cut into blocks of as many as one bitmap holds.
 _BLOCK = 1 << 15
 
@@ -56,7 +59,7 @@ def with_missing(counts: DataFrame) -> DataFrame:
     return counts.withColumn("missing", missing).withColumn(
         "note",
         F.when(F.col("missing") == 0, F.lit("")).otherwise(
-            F.concat(F.col("missing").cast("string"), F.lit(" emails missing!!"))
+            F.concat(F.col("missing").cast("string"), F.lit(MISSING_NOTE))
         ),
     )
 

@@ -40,6 +40,11 @@ from ..sinks.versions import (
 from ..sources.raw import MAIL_GLOB, with_origin
 from ..sources.selection import article_range
 
+# What a status line says, before and after the number of mails and
+# before the list's name in quotes.
+COLLECTED = ("Collected ", " new e-mails from ")
+NOTHING_NEW = "No New e-mails from "
+
 # Fixed value: how often a running ingest looks for new mails.
 POLL = "1 hour"
 
@@ -334,5 +339,5 @@ def status_text(name: Column, new: Column) -> Column:
     """One line on what was fetched."""
     quoted = F.concat(F.lit('"'), name, F.lit('"'))
     return F.when(
-        new > 0, F.concat(F.lit("Collected "), new.cast("string"), F.lit(" new e-mails from "), quoted)
-    ).otherwise(F.concat(F.lit("No New e-mails from "), quoted))
+        new > 0, F.concat(F.lit(COLLECTED[0]), new.cast("string"), F.lit(COLLECTED[1]), quoted)
+    ).otherwise(F.concat(F.lit(NOTHING_NEW), quoted))
