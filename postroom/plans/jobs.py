@@ -17,7 +17,13 @@ from ..operators.sizes import list_sizes, size_report
 from ..sinks.scratch import scratch
 from ..sinks.tables import write_archive, write_partitioned, write_report, write_tables
 from ..sinks.versions import Version
-from ..sources.mail import read_dead_letters, read_identity_map, read_mail
+from ..sources.mail import (
+    list_names,
+    read_dead_letters,
+    read_identity_map,
+    read_mail,
+    read_tolerant,
+)
 
 _ORDER = ["date", "article_no"]
 
@@ -74,11 +80,24 @@ def pseudonymise_archive(
     lists: Iterable[str] | None = None,
     key: str | None = None,
     tolerant: bool = False,
-) -> None:
-    """Write the pseudonymised copy and the identity maps under ``out``."""
-    names = None if lists is None else list(lists)
-    mail = read_mail(spark, parsed, names, tolerant=tolerant)
+) -> DataFrame | None:
+    """Write the pseudonymised copy and the identity maps under ``out``.
+
+    ``tolerant`` leaves out lists with a file that can't be read, warns of each and
+    returns the report on them; what ``out`` holds of them stays as it is.
+    """
+    names, report = None if lists is None else list(lists), None
+    if tolerant:
+        mail, report = read_tolerant(spark, parsed)
+        skipped = {r["list"] for r in report.collect()}  # names of lists
+        if skipped and names is None:
+            names = [r["list"] for r in list_names(mail).collect()]
+        names = None if names is None else [n for n in names if n not in skipped]
+        mail = mail if names is None else mail.where(F.col("list").isin(*names))
+    else:
+        mail = read_mail(spark, parsed, names)
     write_archive(pseudonymised_datasets(mail, key=key), out, processed=names)
+    return report
 
 
 def analyse_archive(

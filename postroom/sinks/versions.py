@@ -217,6 +217,35 @@ def read_table(
     return named if lists is None else named.where(F.col(PARTITION).isin(*lists))
 
 
+def has_versions(spark: SparkSession, root: str) -> bool:
+    """Whether the table was committed at least once, and no plain folder is there."""
+    return current_version(spark, split_root(root)[0]) is not None and not _exists(spark, root)
+
+
+def table_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The folders that hold each list of the newest version of a table."""
+    home, table = split_root(root)
+    version = current_version(spark, home)
+    found: dict[str, list[str]] = {}
+    for e in version.entries if version else ():
+        if e.table == table:
+            name = _folder_name(e.list)
+            found.setdefault(e.list, []).append(f"{run_folder(home, e.run)}/table={table}/{PARTITION}={name}")
+    return found
+
+
+# What Spark writes as %XX in the names of partition folders, and
+# the name of a partition without a value.
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_name(name: str) -> str:
+    if not name:
+        return NO_NAME
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in name)
+
+
 def _exists(spark: SparkSession, root: str) -> bool:
     try:
         spark.read.schema("list string").parquet(root)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DEAD_SCHEMA, MAIL_SCHEMA, STORED_MAIL_SCHEMA
-from ..sinks.versions import read_table, table_folders
-from .files import probe
+from ..sinks.versions import NO_NAME, PARTITION, has_versions, read_table, table_folders
+from .files import list_folders, probe
 from .raw import tolerance
 
 
@@ -49,7 +50,16 @@ def read_identity_map(
 
 def unreadable_files(spark: SparkSession, root: str) -> DataFrame:
     """list, path, error of the files of a table that can't be opened, found by tasks."""
-    return probe(spark, table_folders(spark, root))
+    folders = table_folders(spark, root)
+    if not folders and not has_versions(spark, root):  # a plain list-partitioned folder
+        prefix = f"{PARTITION}="
+        names = [n for n in list_folders(root) if n.startswith(prefix)]
+        folders = {_list_of(n.removeprefix(prefix)): [f"{root}/{n}"] for n in names}
+    return probe(spark, folders)
+
+
+def _list_of(folder: str) -> str:
+    return "" if folder == NO_NAME else unquote(folder)
 
 
 def read_tolerant(spark: SparkSession, root: str, schema: T.StructType = MAIL_SCHEMA):

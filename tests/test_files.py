@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postroom.operators import parse_mail
+from postroom.plans import jobs
 from postroom.sinks import write_mail
 from postroom.sources import (
     catalogue,
@@ -110,3 +111,16 @@ def test_broken_lists_are_left_out_and_reported(spark, inbox, tmp_path):
     assert {r["list"] for r in mail.select("list").distinct().collect()} == {"b c"}
     assert mail.count() == 3
     assert {r["list"]: r["files"] for r in report.collect()} == {"a": 1, "2024": 2}
+
+
+def test_a_copy_without_the_broken_list(spark, raw, tmp_path):
+    plain, anon = str(tmp_path / "plain"), str(tmp_path / "anon")
+    mails = [(name, n, GOOD.format(n=n).encode()) for name in ("a", "b=1") for n in range(3)]
+    parse_mail(raw(*mails)).write.partitionBy("list").parquet(plain)
+    jobs.pseudonymise_archive(spark, plain, anon)
+    (tmp_path / "plain" / "list=b%3D1" / "part-broken.parquet").write_bytes(b"no table")
+    with pytest.warns(UserWarning, match="b=1"):
+        report = jobs.pseudonymise_archive(spark, plain, anon, tolerant=True)
+    assert [tuple(r)[:2] for r in report.collect()] == [("b=1", 1)]
+    copy = read_mail(spark, f"{anon}/__main_dataset")
+    assert {r["list"]: r["count"] for r in copy.groupBy("list").count().collect()} == {"a": 3, "b=1": 3}
