@@ -744,8 +744,10 @@ def ingest_late_files(spark, sf):
     root = scratch_dir(spark)
 
     def run() -> None:
-        stream = streaming.mail_stream(spark, f"{root}/in")
-        streaming.ingest(stream, f"{root}/store", f"{root}/checkpoint").awaitTermination()
+        streaming.note_files(spark, f"{root}/in", f"{root}/listing")
+        stream = streaming.listed_stream(spark, f"{root}/listing")
+        read = streaming.listed_reader(f"{root}/in")
+        streaming.ingest(stream, f"{root}/store", f"{root}/checkpoint", read=read).awaitTermination()
 
     raw = mail_archive(spark, sf)
     _write_files(_documents(spark, sf), f"{root}/in")

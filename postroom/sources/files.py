@@ -126,7 +126,10 @@ def read_catalogued(
             if held:
                 yield _raw_batch(held)
 
-    placed = packed(files, pack_bytes).repartition("pack")
+    placed = packed(files, pack_bytes)
+    # A task for each pack: by the bytes of the names alone, Spark would join them all.
+    packs = 1 + (placed.agg(F.max("pack")).first()[0] or 0)
+    placed = placed.repartitionByRange(packs, "pack")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW_SCHEMA.fields)
     return placed.select("path", "list", "length", "modificationTime").mapInArrow(read, ddl).select(*names)
 

@@ -10,8 +10,11 @@ from .ingest import (
     ingested_gaps,
     landed_stream,
     latest,
+    listed_reader,
+    listed_stream,
     lost_copies,
     mail_stream,
+    note_files,
     read_ingested,
     read_latest,
     read_marks,
@@ -31,8 +34,11 @@ __all__ = [
     "ingested_gaps",
     "landed_stream",
     "latest",
+    "listed_reader",
+    "listed_stream",
     "lost_copies",
     "mail_stream",
+    "note_files",
     "read_ingested",
     "read_latest",
     "read_marks",

@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,7 @@ from ..sinks.versions import (
     run_folder,
     split_root,
 )
+from ..sources.files import CATALOGUE, catalogue, read_catalogued
 from ..sources.raw import MAIL_GLOB, with_origin
 from ..sources.selection import article_range
 
@@ -52,6 +54,11 @@ POLL = "1 hour"
 #: Archives keep the times of old mails, so the default never is.
 MAX_AGE = "36500d"
 
+#: Files that one call adds to a listing at least, if there are as many mails, and the
+#: mails that one of them names at most.
+LISTING_PARTS = 12
+LISTING_ROWS = 50_000
+
 # The table of mails: a mail's place in its batch tells equal copies apart.
 MAILS = "mails"
 _MAILS = T.StructType(
@@ -73,8 +80,9 @@ def mail_stream(
 ) -> DataFrame:
     """New ``.eml`` files under ``root`` as they appear, however old.
 
-    The driver lists all files and remembers them. For tens of millions of mails
-    use :func:`landed_stream`, whose files are few.
+    The driver lists all files and remembers them, and Spark reads a few dozen in a
+    task. For more than some ten thousand mails use :func:`listed_stream` or
+    :func:`landed_stream`, whose files are few.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -99,19 +107,69 @@ def landed_stream(
     return _rate(spark.readStream.schema(RAW_SCHEMA), max_files, max_age).parquet(root)
 
 
+def note_files(spark: SparkSession, root: str, listing: str) -> None:
+    """Add to the table ``listing`` the mail files under ``root`` that it doesn't name yet.
+
+    Tasks list the folders, so the driver knows no file. A file is known by its path,
+    as it is to :func:`mail_stream`. Run one at a time for a listing.
+    """
+    found = catalogue(spark, root)
+    try:
+        known = spark.read.schema(CATALOGUE).parquet(listing).select("path")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        found = found.join(known, "path", "left_anti").select(*found.columns)
+    found = materialise(found, f"{scratch_dir(spark)}/found")  # the folders are listed once
+    parts = max(LISTING_PARTS, spark.sparkContext.defaultParallelism)
+    spread = found.repartitionByRange(parts, "list", "path")
+    spread.write.mode("append").option("maxRecordsPerFile", LISTING_ROWS).parquet(listing)
+
+
+def listed_stream(
+    spark: SparkSession, listing: str, max_files: int | None = None, max_age: str = MAX_AGE
+) -> DataFrame:
+    """The mail files that :func:`note_files` adds to ``listing`` as they appear there.
+
+    Rows name the files; give :func:`ingest` a :func:`listed_reader`, which has tasks
+    read them, many to a task. ``max_files`` counts files of the listing.
+    """
+    return _rate(spark.readStream.schema(CATALOGUE), max_files, max_age).parquet(listing)
+
+
+def listed_reader(root: str) -> Callable[[DataFrame], DataFrame]:
+    """What turns a batch of a listing of ``root`` into its raw mails."""
+
+    def read(batch: DataFrame) -> DataFrame:
+        # Written first, so the stream's progress counts each mail once.
+        names = materialise(batch, f"{scratch_dir(batch.sparkSession)}/batch")
+        return read_catalogued(names, root)
+
+    return read
+
+
 def _rate(reader, max_files: int | None, max_age: str):
     reader = reader.option("maxFileAge", max_age)
     return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
 
 
 def ingest(
-    stream: DataFrame, target: str, checkpoint: str, once: bool = True, every: str = POLL
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    once: bool = True,
+    every: str = POLL,
+    read: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
-    """Start the ingest: everything there is now, or again and again."""
+    """Start the ingest: everything there is now, or again and again.
+
+    ``read`` makes raw mails of a batch that only names them (:func:`listed_reader`).
+    """
     trigger = {"availableNow": True} if once else {"processingTime": every}
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, number: store_batch(batch, number, target))
+        .foreachBatch(lambda batch, number: store_batch(read(batch), number, target))
         .trigger(**trigger)
         .start()
     )
