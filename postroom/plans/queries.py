@@ -715,17 +715,19 @@ def stream_files(spark, sf):
     """Real files by a running stream that is stopped after its first batch and goes
     on from its checkpoint: each mail comes once."""
     root = scratch_dir(spark)
-    total = _write_files(mail_archive(spark, sf), f"{root}/in")
+    _write_files(mail_archive(spark, sf), f"{root}/in")
+    streaming.note_files(spark, f"{root}/in", f"{root}/listing")
+    listed = len(spark.read.parquet(f"{root}/listing").inputFiles())
     log = streaming.ProgressLog()
     spark.streams.addListener(log)
     try:
-        stream = streaming.mail_stream(spark, f"{root}/in", max_files=max(1, -(-total // 3)))
-        target = (f"{root}/store", f"{root}/checkpoint")
-        query = streaming.ingest(stream, *target, once=False, every="0 seconds")
+        stream = streaming.listed_stream(spark, f"{root}/listing", max_files=max(1, -(-listed // 3)))
+        target, read = (f"{root}/store", f"{root}/checkpoint"), streaming.listed_reader(f"{root}/in")
+        query = streaming.ingest(stream, *target, once=False, every="0 seconds", read=read)
         while query.isActive and not any(p.batchId >= 0 and p.numInputRows for p in query.recentProgress):
             time.sleep(0.1)
         query.stop()
-        streaming.ingest(stream, *target).awaitTermination()
+        streaming.ingest(stream, *target, read=read).awaitTermination()
         log.wait_for(lambda rows: len({run for _, run, _, mails, _ in rows if mails}) > 1)
     finally:
         spark.streams.removeListener(log)

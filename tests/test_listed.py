@@ -73,7 +73,7 @@ def test_each_pack_is_a_task(spark, places):
     assert packs > 4 and tasks == packs
 
 
-@pytest.mark.parametrize("name", ["ingest_late_files"])
+@pytest.mark.parametrize("name", ["stream_files", "ingest_late_files"])
 def test_the_driver_follows_few_files(spark, tmp_path, monkeypatch, name):
     """The queries' streams see files of a listing, not the mails' own."""
     turns = [(c, t, ("user", "assistant")[t % 2], f"text {t}") for c in range(20) for t in range(10)]
