@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +103,11 @@ class WordEncoder(TextEncoder):
         # Pieces that the split leaves whole need no more than the merges.
         self.pieces = Tokenizer(self.library.model)
         self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # A token has a letter for each byte, and a mark if it ends a word.
+        vocabulary, mark = self.library.get_vocab(), self.library.model.end_of_word_suffix or ""
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token.removesuffix(mark))
         self.forget()
 
     def forget(self) -> None:
@@ -111,28 +117,37 @@ class WordEncoder(TextEncoder):
         self.odd_of: dict[str, int] = {}
         self.last = self.slices.add(np.array([self.end]), np.array([1]))
 
-    def _learn(self, known: dict[str, int], words: list[str], whole: bool) -> None:
-        fresh = [w for w in words if w not in known]
-        if not fresh:
-            return
+    def _slices(self, words: list[str], whole: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has."""
         if whole:
-            found = self.library.encode_batch(fresh, add_special_tokens=False)
+            found = self.library.encode_batch_fast(words, add_special_tokens=False)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.array([i for e in found for i in e.ids], np.int64)
-        else:
-            one = self.pieces.encode(fresh, is_pretokenized=True, add_special_tokens=False)
-            lengths = np.bincount(np.array(one.word_ids, np.int64), minlength=len(fresh))
-            ids = np.array(one.ids, np.int64)
-        first = self.slices.add(ids, lengths)
-        known.update(zip(fresh, range(first, first + len(fresh))))
+            return np.array([i for e in found for i in e.ids], np.int64), lengths
+        # The fast way doesn't say which word a token is of; the bytes do.
+        (one,) = self.pieces.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(one.ids, np.int64)
+        ends = np.cumsum(self.n_bytes[ids])
+        wanted = np.cumsum([len(w.encode()) for w in words])
+        if len(ids) and ends[-1] == wanted[-1]:
+            last = np.searchsorted(ends, wanted)
+            if last[-1] == len(ids) - 1 and (ends[last] == wanted).all():
+                return ids, np.diff(last, prepend=-1)
+        # Without tokens for some bytes.
+        one = self.pieces.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.array(one.ids, np.int64), np.bincount(np.array(one.word_ids, np.int64), minlength=len(words))
 
     def _numbers(self, words: pa.Array, whole: bool) -> np.ndarray:
         """The slice of each word; each distinct one is looked up once."""
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self.odd_of if whole else self.piece_of
-        self._learn(known, distinct, whole)
-        numbers = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        numbers = np.fromiter(map(known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            fresh = [distinct[i] for i in new.tolist()]
+            first = self.slices.add(*self._slices(fresh, whole))
+            known.update(zip(fresh, range(first, first + len(fresh))))
+            numbers[new] = np.arange(first, first + len(fresh))
         return numbers[coded.indices.to_numpy()]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
